@@ -4,32 +4,37 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="shelfwise-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, a temporary one in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwise-"))
-    return context.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return _local_dir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/shelfwise-{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark).rstrip('/')}/shelfwise-{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows are written once and re-read after executor loss."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Writes the rows once as Parquet and continues from that table.
+
+    Later passes read only the columns they need, and a lost executor costs a re-read rather
+    than a recomputation of everything before.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -1 +1,4 @@
 """Registered queries and their SQL equivalents."""
+
+from shelfwise.plans import eda, cleaning  # noqa: F401
+from shelfwise.plans.registry import QUERIES, SQL  # noqa: F401
