@@ -15,6 +15,8 @@ from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelfwise.functions.ordered import running_totals
+
 SMALL = 2_000_000
 RANK_ERROR = 1e-4
 
@@ -110,3 +112,15 @@ def bin_by_edges(value: Column, edges: Sequence[float]) -> Column:
     for step in steps:
         code = code + step
     return F.when(value.isNotNull(), code)
+
+
+def grouped_medians(df: DataFrame, by: Sequence[str], column: str, name: str) -> DataFrame:
+    """(*by, name): exact median per group, by counting values, so a group never sits in one buffer."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(*by, F.col(column).cast("double").alias("_v")).agg(
+        F.count("*").alias("_n")
+    )
+    totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
+    placed = running_totals(counts, by, ["_v"], {"_upto": F.col("_n")}).join(totals, list(by))
+    at = lambda rank: F.min(F.when(F.col("_upto") > rank, F.col("_v")))
+    last = F.col("_total") - 1
+    return placed.groupBy(*by).agg(((at(F.floor(last / 2)) + at(F.ceil(last / 2))) / 2).alias(name))
