@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfwise.functions.lookup import left_lookup
 from shelfwise.functions.ordered import row_numbers
 from shelfwise.functions.storage import cut
 from shelfwise.operators import metrics
@@ -24,7 +25,7 @@ def _shuffled(df: DataFrame, key: str, target: str, seed: int) -> DataFrame:
     """Adds ``_place`` and ``_size``: position of each row in its class in a seeded hash order, and class size."""
     hashed = df.withColumn("_hash", F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string"))))
     sizes = df.groupBy(target).agg(F.count("*").alias("_size"))
-    return row_numbers(hashed, [target], ["_hash", key], "_place").drop("_hash").join(sizes, target)
+    return left_lookup(row_numbers(hashed, [target], ["_hash", key], "_place").drop("_hash"), sizes, target)
 
 
 def stratified_split(df: DataFrame, key: str, target: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:

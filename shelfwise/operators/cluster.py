@@ -7,11 +7,12 @@ integer ``cluster`` column. What is known per cluster (centres, sizes) is a tabl
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
+from math import ceil, sqrt
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -21,6 +22,7 @@ from shelfwise.functions.lookup import left_lookup
 from shelfwise.functions.storage import cut
 
 MICRO_CLUSTERS = 500
+PARALLEL_STARTS = 8  # k-means runs submitted at the same time
 LINKAGES = ("ward", "average", "complete")
 
 
@@ -37,13 +39,21 @@ def fit_kmeans(
 ) -> tuple[DataFrame, float]:
     """(df with ``cluster``, inertia): the best of ``n_init`` k-means runs.
 
+    A run stops when the centres' squared shifts are below 1e-4 of the mean feature variance.
     Clusters are numbered in the order of their centres, so numbers do not depend on the run.
     """
     vectors = _vectors(df, features).persist(StorageLevel.MEMORY_AND_DISK)
-    runs = [
-        KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="_vector", predictionCol="_found").fit(vectors)
-        for i in range(n_init)
-    ]
+    variances = vectors.agg(*[F.var_pop(f) for f in features]).first()
+    tolerance = sqrt(1e-4 * max(sum(v or 0.0 for v in variances) / len(variances), 1e-12) / k)
+
+    @inheritable_thread_target(df.sparkSession)
+    def run(start: int):
+        return KMeans(
+            k=k, maxIter=max_iter, tol=tolerance, seed=seed + start, featuresCol="_vector", predictionCol="_found"
+        ).fit(vectors)
+
+    with ThreadPool(min(n_init, PARALLEL_STARTS)) as pool:
+        runs = pool.map(run, range(n_init))
     best = min(runs, key=lambda m: m.summary.trainingCost)
     vectors.unpersist()
     centres = [tuple(c) for c in best.clusterCenters()]

@@ -89,10 +89,12 @@ def rfm_features(
     """
     base = cut(rfm_base(df, reference_date))
     steps = lambda q: [i / q for i in range(q + 1)]
-    r_edges = exact_quantiles(base, ["recency"], steps(recency_bins))["recency"]
-    m_edges = exact_quantiles(base, ["monetary"], steps(monetary_bins))["monetary"]
-    if not r_edges or r_edges[0] is None:
-        r_edges = m_edges = [0.0]
+    if recency_bins == monetary_bins:
+        edges = exact_quantiles(base, ["recency", "monetary"], steps(recency_bins))
+    else:
+        edges = exact_quantiles(base, ["recency"], steps(recency_bins)) | exact_quantiles(
+            base, ["monetary"], steps(monetary_bins))
+    r_edges, m_edges = ([e for e in edges[c] if e is not None] or [0.0] for c in ("recency", "monetary"))
     r_score = bin_by_edges(F.col("recency"), r_edges)
     if invert_recency:
         r_score = recency_bins + 1 - r_score
@@ -131,6 +133,22 @@ def classification_features(rfm: DataFrame) -> DataFrame:
     })
 
 
+def preferred(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """(key, preferred_<column>...): most frequent value per key, the smallest among ties, else 'Unknown'.
+
+    Values are counted per (key, value) first, so no buffer holds the values of a whole key.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).alias("_value")) for c in columns])
+    counts = df.select(key, F.inline(cells)).groupBy(key, "_column", "_value").agg(F.count("*").alias("_n"))
+    first = F.struct(-F.col("_n"), F.col("_value"))
+    best = [
+        F.min(F.when((F.col("_column") == c) & F.col("_value").isNotNull(), first))["_value"] for c in columns
+    ]
+    return counts.groupBy(key).agg(
+        *[F.coalesce(b, F.lit("Unknown")).alias(f"preferred_{c}") for c, b in zip(columns, best)]
+    )
+
+
 def customer_features(df: DataFrame) -> DataFrame:
     """One row per customer: orders, dates, money, preferences, orders per 30 days and margin.
 
@@ -138,9 +156,9 @@ def customer_features(df: DataFrame) -> DataFrame:
     The preferred category and region are the most frequent, the smallest among ties.
     """
     days = F.date_diff("last_order_date", "first_order_date") + 1
+    lines = df.where(F.col("customer_id").isNotNull())
     return (
-        df.where(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
+        lines.groupBy("customer_id")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
             F.min("order_date").alias("first_order_date"),
@@ -156,9 +174,8 @@ def customer_features(df: DataFrame) -> DataFrame:
             F.avg("quantity").alias("avg_quantity"),
             F.avg("discount").alias("avg_discount"),
             F.max("discount").alias("max_discount"),
-            F.coalesce(F.mode("category", True), F.lit("Unknown")).alias("preferred_category"),
-            F.coalesce(F.mode("region", True), F.lit("Unknown")).alias("preferred_region"),
         )
+        .join(preferred(lines, "customer_id", ["category", "region"]), "customer_id")
         .withColumns({
             "order_frequency": F.col("total_orders") / days * 30,
             "profit_margin": F.try_divide("total_profit", "total_sales"),
