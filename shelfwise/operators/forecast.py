@@ -38,18 +38,19 @@ def _mean(values: Column) -> Column:
 def _smoothed(seasonal: str, periods: int) -> Column:
     """Final (level, trend, seasons, sse) of the damped-trend recursion over array ``ys``.
 
-    It starts from the mean of the first season, the mean change to the second, and the first
-    season's deviations from its mean.
+    It starts on the line through the mean of the first season whose slope is the mean change to
+    the second, with the first season's deviations from that line.
     """
     m = periods
     alpha, beta, gamma, phi = (F.col(c) for c in ("alpha", "beta", "gamma", "phi"))
     first = F.slice("ys", 1, m)
-    level0 = _mean(first)
-    trend0 = (_mean(F.slice("ys", m + 1, m)) - level0) / m
+    middle = _mean(first)
+    trend0 = (_mean(F.slice("ys", m + 1, m)) - middle) / m
+    line = lambda i: middle + trend0 * (i - (m - 1) / 2)
     if seasonal == "add":
-        apart, join, seasons0 = (lambda y, s: y - s), (lambda x, s: x + s), F.transform(first, lambda y: y - level0)
+        apart, join = (lambda y, s: y - s), (lambda x, s: x + s)
     elif seasonal == "mul":
-        apart, join, seasons0 = F.try_divide, (lambda x, s: x * s), F.transform(first, lambda y: F.try_divide(y, level0))
+        apart, join = F.try_divide, (lambda x, s: x * s)
     else:
         raise ValueError("seasonal must be 'add' or 'mul'")
 
@@ -67,7 +68,8 @@ def _smoothed(seasonal: str, periods: int) -> Column:
         )
 
     start = F.struct(
-        level0.alias("level"), trend0.alias("trend"), seasons0.alias("seasons"), F.lit(0.0).alias("sse"))
+        line(F.lit(-1)).alias("level"), trend0.alias("trend"),
+        F.transform(first, lambda y, i: apart(y, line(i))).alias("seasons"), F.lit(0.0).alias("sse"))
     return F.aggregate("ys", start, step)
 
 

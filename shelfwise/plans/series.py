@@ -161,9 +161,10 @@ def _holt_winters_sql(add):
     ahead = f"(level + {_PHI} * trend)"
     return f"""WITH RECURSIVE {SALES}, {series_sql('M', 'category', drop_zero_runs=True)}, {split_sql(12)},
 train AS (SELECT series, list(value ORDER BY period) AS ys FROM parts WHERE part = 'train' GROUP BY series),
+begin AS (SELECT series, ys, list_avg(ys[1:12]) AS mid, (list_avg(ys[13:24]) - list_avg(ys[1:12])) / 12 AS b FROM train),
 hw AS (
-  SELECT series, ys, 0 AS t, list_avg(ys[1:12]) AS level, (list_avg(ys[13:24]) - list_avg(ys[1:12])) / 12 AS trend,
-         list_transform(ys[1:12], lambda y: {apart.format(y='y', s='list_avg(ys[1:12])')}) AS seasons FROM train
+  SELECT series, ys, 0 AS t, mid - 6.5 * b AS level, b AS trend,
+         list_transform(ys[1:12], lambda y, i: {apart.format(y='y', s='(mid + b * (i - 6.5))')}) AS seasons FROM begin
   UNION ALL
   SELECT series, ys, t + 1, nl, {_BETA} * (nl - level) + (1 - {_BETA}) * {_PHI} * trend,
          list_append(seasons[2:12], {_GAMMA} * ({apart.format(y='ys[t + 1]', s=ahead)}) + (1 - {_GAMMA}) * seasons[1])
