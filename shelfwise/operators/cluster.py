@@ -16,7 +16,7 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.lookup import left_lookup
 from shelfwise.functions.storage import cut
@@ -311,7 +311,7 @@ def profiles(clustered: DataFrame, features: Sequence[str]) -> DataFrame:
     others = [f(c).alias(f"{c}_{name}") for c in features for name, f in (("std", F.stddev_samp), ("min", F.min), ("max", F.max))]
     table = clustered.groupBy("cluster").agg(
         *[F.avg(c).alias(c) for c in features], *others, F.count("*").alias("size"))
-    total = clustered.agg(F.count("*").alias("n")).scalar()
+    total = F.sum("size").over(Window.partitionBy())  # one row per cluster
     return table.withColumn("percentage", F.bround(F.col("size") / total * 100, 2))
 
 

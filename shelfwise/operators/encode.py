@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from shelfwise.functions.lookup import left_lookup
 from shelfwise.functions.ordered import row_numbers
 from shelfwise.functions.quantiles import exact_quantiles
+from shelfwise.functions.storage import cut
 
 # Season of each month (fixed values).
 SEASONS = {
@@ -23,7 +24,7 @@ HOLIDAY_MONTHS = [11, 12]
 
 def label_map(df: DataFrame, column: str, order: Sequence[str]) -> DataFrame:
     """(column, code): codes from 0 in order of first appearance of the non-null values."""
-    first = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.min(F.struct(*order)).alias("_first"))
+    first = cut(df.where(F.col(column).isNotNull()).groupBy(column).agg(F.min(F.struct(*order)).alias("_first")))
     return row_numbers(first, [], ["_first"], "_place").select(column, (F.col("_place") - 1).cast("int").alias("code"))
 
 
@@ -58,7 +59,7 @@ def encode_categorical(df: DataFrame, columns: Sequence[str], method: str = "lab
 def encode_frequency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Adds ``<column>_freq``: the value's share among the non-null rows; null stays null."""
     for c in (c for c in columns if c in df.columns):
-        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_n"))
+        counts = cut(df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_n")))
         total = counts.agg(F.sum("_n").alias("n")).scalar()
         df = left_lookup(df, counts.select(c, (F.col("_n") / total).alias(f"{c}_freq")), c)
     return df

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from shelfwise.functions.ordered import HOT_ROWS, row_numbers, trailing
 from shelfwise.functions.quantiles import bin_by_edges, exact_quantiles
@@ -26,14 +26,13 @@ def rfm_base(df: DataFrame, reference_date: str | None = None) -> DataFrame:
     """(customer_id, recency, frequency, monetary, total_profit, total_quantity).
 
     Recency is in whole days up to the reference time, by default a day after the last order.
+    The customer totals are written once: the last order of all, quantile edges and ranks are
+    then found on that table, and the lines are read a single time.
     """
-    lines = df.where(F.col("customer_id").isNotNull()).withColumn("_at", epoch_seconds("order_date"))
-    if reference_date is None:
-        until = lines.agg(F.max("_at").alias("t")).scalar() + 86400
-    else:
-        until = F.lit(datetime.fromisoformat(reference_date).replace(tzinfo=timezone.utc).timestamp())
-    return (
-        lines.groupBy("customer_id")
+    totals = cut(
+        df.where(F.col("customer_id").isNotNull())
+        .withColumn("_at", epoch_seconds("order_date"))
+        .groupBy("customer_id")
         .agg(
             F.max("_at").alias("_last"),
             F.count_distinct("order_id").alias("frequency"),
@@ -41,11 +40,15 @@ def rfm_base(df: DataFrame, reference_date: str | None = None) -> DataFrame:
             _total("profit").alias("total_profit"),
             _total("quantity").alias("total_quantity"),
         )
-        .select(
-            "customer_id",
-            F.floor((until - F.col("_last")) / 86400).cast("int").alias("recency"),
-            "frequency", "monetary", "total_profit", "total_quantity",
-        )
+    )
+    if reference_date is None:
+        until = totals.agg(F.max("_last").alias("t")).scalar() + 86400
+    else:
+        until = F.lit(datetime.fromisoformat(reference_date).replace(tzinfo=timezone.utc).timestamp())
+    return totals.select(
+        "customer_id",
+        F.floor((until - F.col("_last")) / 86400).cast("int").alias("recency"),
+        "frequency", "monetary", "total_profit", "total_quantity",
     )
 
 
@@ -84,10 +87,9 @@ def rfm_features(
 ) -> DataFrame:
     """RFM table with quantile scores and segments.
 
-    A longer recency gives a higher r_score unless ``invert_recency`` is set. The customer
-    table is written once, because quantile edges and ranks each need their own pass over it.
+    A longer recency gives a higher r_score unless ``invert_recency`` is set.
     """
-    base = cut(rfm_base(df, reference_date))
+    base = rfm_base(df, reference_date)
     steps = lambda q: [i / q for i in range(q + 1)]
     if recency_bins == monetary_bins:
         edges = exact_quantiles(base, ["recency", "monetary"], steps(recency_bins))
@@ -120,7 +122,7 @@ def segment_profile(rfm: DataFrame) -> DataFrame:
 def segment_share(rfm: DataFrame) -> DataFrame:
     """(segment, customers, percent), largest first."""
     counts = rfm.groupBy("segment").agg(F.count("*").alias("customers"))
-    total = counts.agg(F.sum("customers").alias("n")).scalar()
+    total = F.sum("customers").over(Window.partitionBy())  # one row per segment
     return counts.withColumn("percent", share(F.col("customers"), total)).orderBy(F.desc("customers"), "segment")
 
 

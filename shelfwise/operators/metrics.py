@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.ordered import HOT_ROWS, running_totals
 from shelfwise.functions.shape import stacked
+from shelfwise.functions.storage import cut
 
 LOWER_IS_BETTER = {"mae", "rmse", "davies_bouldin"}
 
@@ -90,7 +91,7 @@ def auc_per_class(scores: DataFrame, by: Sequence[str] = (), *, hot_rows: int =
     The area is the share of (positive, negative) pairs ranked rightly, ties counting half.
     """
     keys = [*by, "label"]
-    ranked = running_totals(_score_counts(scores, by), keys, ["score"], {"neg_upto": F.col("neg")}, hot_rows=hot_rows)
+    ranked = running_totals(cut(_score_counts(scores, by)), keys, ["score"], {"neg_upto": F.col("neg")}, hot_rows=hot_rows)
     wins = F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2))
     pairs = F.sum("pos").cast("double") * F.sum("neg")
     return ranked.groupBy(*keys).agg(F.when(pairs > 0, wins / pairs).alias("auc"))
@@ -105,7 +106,7 @@ def roc_auc(scores: DataFrame, by: Sequence[str] = (), *, hot_rows: int = HOT_RO
 
 def roc_curve(scores: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(label, threshold, fpr, tpr): one point per distinct score, and the origin at an infinite threshold."""
-    counts = _score_counts(scores, ())
+    counts = cut(_score_counts(scores, ()))
     climbed = running_totals(
         counts, ["label"], [F.desc("score")], {"tp": F.col("pos"), "fp": F.col("neg")}, hot_rows=hot_rows
     )

@@ -157,10 +157,9 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     x = F.col(column).cast("double")
     low, high = F.min(x), F.max(x)
     flat = low == high
-    span = df.agg(
+    edges = df.agg(F.struct(
         F.when(flat, low - 0.5).otherwise(low).alias("low"), F.when(flat, high + 0.5).otherwise(high).alias("high")
-    )
-    edges = span.select(F.struct("low", "high").alias("edges")).scalar()
+    ).alias("edges")).scalar()
     place = F.floor((x - edges["low"]) * bins / (edges["high"] - edges["low"]))
     counts = (
         df.where(x.isNotNull())
@@ -168,14 +167,12 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
         .groupBy("bin")
         .agg(F.count("*").alias("n"))
     )
-    width = (F.col("high") - F.col("low")) / bins
-    frame = span.where("low IS NOT NULL").select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "low", "high"
-    )
+    width = (edges["high"] - edges["low"]) / bins
+    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).where(edges["low"].isNotNull())
     return frame.join(counts, "bin", "left").select(
         "bin",
-        (F.col("low") + F.col("bin") * width).alias("lower"),
-        (F.col("low") + (F.col("bin") + 1) * width).alias("upper"),
+        (edges["low"] + F.col("bin") * width).alias("lower"),
+        (edges["low"] + (F.col("bin") + 1) * width).alias("upper"),
         F.coalesce("n", F.lit(0)).cast("long").alias("n"),
     )
 

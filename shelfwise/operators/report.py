@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.functions.shape import stacked
+from shelfwise.functions.shape import numeric_columns, stacked, text_columns
 from shelfwise.operators import profile
-from shelfwise.functions.shape import numeric_columns, text_columns
 
 # Sentences of the insight report (fixed values).
 SEGMENT_ADVICE = {
@@ -73,10 +72,14 @@ def actionable_insights(
     tables = []
     if rfm is not None:
         counts = rfm.groupBy("segment").agg(F.count("*").alias("n"))
-        total = counts.agg(F.sum("n").alias("total")).scalar()
-        for i, (segment, advice) in enumerate(SEGMENT_ADVICE.items(), 1):
-            text = F.format_string(f"{segment}: %.1f%% of customers - {advice}", F.col("n") / total * 100)
-            tables.append(counts.where(F.col("segment") == segment).select(*_said("segment", i, text)))
+        percent = F.col("n") / F.sum("n").over(Window.partitionBy()) * 100  # one row per segment
+        names = F.array(*[F.lit(s) for s in SEGMENT_ADVICE])
+        advice = F.create_map(*[F.lit(x) for pair in SEGMENT_ADVICE.items() for x in pair])
+        said = counts.withColumn("percent", percent).where(F.col("segment").isin(list(SEGMENT_ADVICE)))
+        tables.append(said.select(
+            F.array_position(names, F.col("segment")).cast("int").alias("seq"), F.lit("segment").alias("kind"),
+            F.format_string("%s: %.1f%% of customers - %s", "segment", "percent", advice[F.col("segment")]).alias("text"),
+        ))
     if rules is not None:
         best = rules.orderBy(F.desc("lift"), "antecedent", "consequent").limit(1)
         text = F.format_string(

@@ -29,12 +29,14 @@ def period_label(day: Column, freq: str) -> Column:
     raise ValueError("freq must be 'D', 'W' or 'M'")
 
 
-def _calendar(freq: str) -> Column:
-    first, last = F.col("first"), F.col("last")
+def _until_next(freq: str, period: Column, following: Column) -> Column:
+    """The period and the empty ones up to the following period with rows."""
     if freq == "M":
-        months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("INTERVAL 1 MONTH"))
-        return F.transform(months, lambda m: F.last_day(m))
-    return F.sequence(first, last, F.expr("INTERVAL 7 DAYS" if freq == "W" else "INTERVAL 1 DAY"))
+        month = F.trunc(period, "month")
+        last = F.coalesce(F.add_months(F.trunc(following, "month"), -1), month)
+        return F.transform(F.sequence(month, last, F.expr("INTERVAL 1 MONTH")), lambda m: F.last_day(m))
+    days = 7 if freq == "W" else 1
+    return F.sequence(period, F.coalesce(F.date_sub(following, days), period), F.expr(f"INTERVAL {days} DAYS"))
 
 
 def resample(
@@ -52,10 +54,12 @@ def resample(
         values = rows.groupBy("series", "period").agg(AGGREGATES[agg_func]("v").cast("double").alias("value"))
     else:
         raise ValueError(f"agg_func must be 'median' or one of {sorted(AGGREGATES)}")
-    spans = values.groupBy("series").agg(F.min("period").alias("first"), F.max("period").alias("last"))
-    grid = spans.select("series", F.explode(_calendar(freq)).alias("period"))
-    return grid.join(values, ["series", "period"], "left").select(
-        "series", "period", F.coalesce("value", F.lit(0.0)).alias("value")
+    following = F.lead("period").over(Window.partitionBy("series").orderBy("period"))
+    filled = values.withColumn("_next", following).select(
+        "series", "value", F.posexplode(_until_next(freq, F.col("period"), F.col("_next"))).alias("_gap", "period")
+    )
+    return filled.select(
+        "series", "period", F.when(F.col("_gap") == 0, F.coalesce("value", F.lit(0.0))).otherwise(0.0).alias("value")
     )
 
 

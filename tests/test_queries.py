@@ -6,18 +6,21 @@ import __spark_entry__ as entry
 from compare import connect, differences, duckdb_rows, spark_rows
 
 SF_DIR = "/root/testdata/sf0.001"
+# Weeks without sales make the smallest scale's MAPE too large to compare by rounding.
+OTHER_DIR = {"ts_compare": "/root/testdata/sf0.01"}
 SLOW = {"clu_find_k", "mdl_compare"}  # covered by tests of their parts
 
 
 @pytest.fixture(scope="module")
 def con():
-    return connect(SF_DIR)
+    return {folder: connect(folder) for folder in {SF_DIR, *OTHER_DIR.values()}}
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_matches_sql(spark, con, name):
-    mine = spark_rows(entry.queries()[name](spark, SF_DIR))
-    assert differences(mine, duckdb_rows(con, entry.oracle_sql()[name])) == []
+    folder = OTHER_DIR.get(name, SF_DIR)
+    mine = spark_rows(entry.queries()[name](spark, folder))
+    assert differences(mine, duckdb_rows(con[folder], entry.oracle_sql()[name])) == []
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW))
