@@ -231,7 +231,7 @@ def silhouette_exact(clustered: DataFrame, key: str, features: Sequence[str], bl
     sums = work.mapInPandas(measure, f"id {key_type}, other int, total double")
     means = (
         sums.groupBy("id", "other").agg(F.sum("total").alias("total"))
-        .join(F.broadcast(sizes.withColumnRenamed("cluster", "other")), "other")  # k rows
+        .join(sizes.withColumnRenamed("cluster", "other"), "other")
         .join(clustered.select(F.col(key).alias("id"), "cluster"), "id")
     )
     same = F.col("other") == F.col("cluster")
@@ -287,7 +287,7 @@ def find_k(
 ) -> DataFrame:
     """(k, inertia, silhouette, davies_bouldin, calinski_harabasz, best): best marks the first highest silhouette."""
     df = cut(df.select(key, *features))
-    table = None
+    rows = []
     for k in k_range:
         if clustering == "kmeans":
             clustered, inertia = fit_kmeans(df, features, k, n_init=n_init, seed=seed)
@@ -295,15 +295,15 @@ def find_k(
             clustered, inertia = fit_hac(df, key, features, k, seed=seed), 0.0
         else:
             raise ValueError("clustering must be 'kmeans' or 'hac'")
-        row = silhouette(clustered, key, features, method).select(
-            F.lit(k).alias("k"), F.lit(inertia).alias("inertia"), "silhouette",
-            F.coalesce(davies_bouldin(clustered, features).scalar(), F.lit(float("inf"))).alias("davies_bouldin"),
-            F.coalesce(calinski_harabasz(clustered, features).scalar(), F.lit(0.0)).alias("calinski_harabasz"),
-        )
-        table = row if table is None else table.unionByName(row)
-    table = cut(table.coalesce(1))  # one row per k
-    best = table.agg(F.min_by("k", F.struct(-F.col("silhouette"), F.col("k"))).alias("k")).scalar()
-    return table.withColumn("best", F.col("k") == best)
+        clustered = cut(clustered)  # read by three measures
+        score = silhouette(clustered, key, features, method).first()[0]
+        dbi, ch = davies_bouldin(clustered, features).first()[0], calinski_harabasz(clustered, features).first()[0]
+        rows.append((k, inertia, score, float("inf") if dbi is None else dbi, ch or 0.0))
+    best = min(rows, key=lambda row: (-row[2], row[0]))[0]
+    return df.sparkSession.createDataFrame(
+        [(*row, row[0] == best) for row in rows],
+        "k int, inertia double, silhouette double, davies_bouldin double, calinski_harabasz double, best boolean",
+    )
 
 
 def profiles(clustered: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -82,9 +82,10 @@ def _touching_dense_cells(dense: DataFrame, eps2: float, dimensions: int) -> Dat
 
     ``dense`` has (cell, u, x, spot): u is x in units of the cell side.
     """
-    def subcells(level: int) -> DataFrame:
+    def subcells(level: int, undecided: DataFrame) -> DataFrame:
         sub = F.transform("u", lambda v: F.floor(v * 2.0**level))
-        return dense.withColumn("sub", sub).groupBy("cell", "sub").agg(
+        active = undecided.select(F.explode(F.array("a", "b")).alias("cell")).distinct()
+        return dense.join(active, "cell", "left_semi").withColumn("sub", sub).groupBy("cell", "sub").agg(
             F.array(*[F.min(F.col("x")[i]) for i in range(dimensions)]).alias("low"),
             F.array(*[F.max(F.col("x")[i]) for i in range(dimensions)]).alias("high"),
             F.min(F.struct("spot", "x")).alias("some"),
@@ -99,11 +100,11 @@ def _touching_dense_cells(dense: DataFrame, eps2: float, dimensions: int) -> Dat
     cells = dense.select("cell").distinct()
     pairs = _around(cells.withColumnRenamed("cell", "a"), "a", "b", dimensions).where(F.col("a") < F.col("b"))
     start = F.col("a").alias("a"), F.col("a").alias("a_at"), F.col("b").alias("b"), F.col("b").alias("b_at")
-    undecided = pairs.join(cells.withColumnRenamed("cell", "b"), "b").select(*start)
+    undecided = cut(pairs.join(cells.withColumnRenamed("cell", "b"), "b").select(*start))
     links, level = None, 0
     while True:
         level += 1
-        table = cut(subcells(level))
+        table = cut(subcells(level, undecided))
         tested = undecided.join(side(table, "a"), ["a", "a_at"]).join(side(table, "b"), ["b", "b_at"]).select(
             "a", F.col("a_sub").alias("a_at"), "b", F.col("b_sub").alias("b_at"),
             (_squared_gap(F.col("a_x"), F.col("b_x")) <= eps2).alias("linked"),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from shelfwise.functions.lookup import left_lookup
 from shelfwise.functions.ordered import row_numbers
 from shelfwise.functions.quantiles import exact_quantiles
+from shelfwise.functions.shape import column_values
 from shelfwise.functions.storage import cut
 
 # Season of each month (fixed values).
@@ -37,13 +38,9 @@ def encode_label(df: DataFrame, columns: Sequence[str], order: Sequence[str]) ->
 
 
 def encode_onehot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Adds boolean ``<column>_<value>`` for every value but the first in sort order; null rows are all false.
-
-    The distinct values are read by the driver because they become the schema.
-    """
+    """Adds boolean ``<column>_<value>`` for every value but the first in sort order; null rows are all false."""
     for c in (c for c in columns if c in df.columns):
-        values = [r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).collect()]
-        flags = {f"{c}_{v}": F.coalesce(F.col(c) == F.lit(v), F.lit(False)) for v in values[1:]}
+        flags = {f"{c}_{v}": F.coalesce(F.col(c) == F.lit(v), F.lit(False)) for v in column_values(df, c)[1:]}
         df = df.withColumns(flags) if flags else df
     return df
 

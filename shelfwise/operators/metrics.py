@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.ordered import HOT_ROWS, running_totals
-from shelfwise.functions.shape import stacked
+from shelfwise.functions.shape import column_values, stacked
 from shelfwise.functions.storage import cut
 
 LOWER_IS_BETTER = {"mae", "rmse", "davies_bouldin"}
@@ -68,7 +68,7 @@ def confusion_matrix(predictions: DataFrame, normalize: bool = False) -> DataFra
     """(y_true, one column per class): counts, or shares of each row; a class that never occurs has null shares."""
     counts = confusion_counts(predictions)
     labels = counts.select(F.explode(F.array("y_true", "y_pred")).alias("y_true")).distinct()
-    names = [r[0] for r in labels.orderBy("y_true").collect()]
+    names = column_values(labels, "y_true")
     wide = labels.join(counts.groupBy("y_true").pivot("y_pred", names).agg(F.sum("n")), "y_true", "left").na.fill(0)
     if not normalize:
         return wide
