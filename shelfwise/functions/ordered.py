@@ -59,7 +59,7 @@ def running_totals(
     return (
         ranged.join(shifts, [*by, "_slice"])
         .withColumns({name: F.sum(f"_add_{name}").over(window) + F.col(f"_shift_{name}") for name in totals})
-        .drop("_slice", *[f"{kind}_{name}" for name in totals for kind in ("_add", "_shift")])
+        .select(*df.columns, *totals)
     )
 
 

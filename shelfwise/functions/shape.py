@@ -71,5 +71,5 @@ def share(part: Column, whole: Column) -> Column:
 def epoch_seconds(name: str) -> Column:
     """Seconds since 1970-01-01 by the clock the column shows, whatever the session time zone."""
     days = F.date_diff(F.to_date(name), F.lit("1970-01-01").cast("date"))
-    seconds = F.hour(name) * 3600 + F.minute(name) * 60 + F.extract(F.lit("SECOND"), F.col(name))
-    return (days * 86400 + seconds).cast("double")
+    minutes = days.cast("double") * 1440 + F.hour(name) * 60 + F.minute(name)
+    return minutes * 60 + F.extract(F.lit("SECOND"), F.col(name)).cast("double")

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def load_csv(spark: SparkSession, folder: str, filename: str = "superstore.csv", schema: T.StructType | str | None = None) -> DataFrame:
+def load_csv(spark: SparkSession, folder: str, filename: str = "sales.csv", schema: T.StructType | str | None = None) -> DataFrame:
     """A UTF-8 CSV file with a header. When it is missing, the first ``*.csv`` of the folder by name.
 
     Without a schema the types are inferred, which reads the file once more.

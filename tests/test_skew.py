@@ -57,7 +57,7 @@ def test_lag_features_of_a_hot_customer(lines, hot_rows):
         want[f"sales_rolling_mean_{k}"] = groups.transform(lambda x: x.rolling(k, min_periods=1).mean())
     want["sales_diff"] = groups.diff()
     want = want.sort_values("row_id").reset_index(drop=True)
-    assert len(got) == len(want)
+    assert len(got) == len(want) and list(got.columns) == list(want.columns)
     for c in want.columns[4:]:
         assert np.allclose(got[c], want[c], equal_nan=True), c
 
