@@ -1,14 +1,66 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Every stage takes (spark, docs, sf_dir); what it returns is written and read again as the next one's
+documents. The last stage returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from shelfwise.functions.storage import cut
+from shelfwise.llm import decontaminate, jaccard, packing, pii, toxicity
+from shelfwise.llm.queries import PSEUDONYM_KEY, crc_of_id
+from shelfwise.sources.tables import table
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops what the classifier of operator 1 rejects."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=crc_of_id(3) != 1)
+    return toxicity.without_toxic(docs, model)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest id of each group of near copies of operator 10 (five words, similarity 0.8).
+
+    Documents without an id are in no group and stay.
+    """
+    groups = jaccard.similar_groups(docs, words=5, percent=80)
+    rest = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("copy")).distinct()
+    return docs.join(rest, docs["doc_id"] == rest["copy"], "left_anti")
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item by operator 6."""
+    return decontaminate.without_contaminated(docs, decontaminate.build(table(spark, sf_dir, "benchmark")))
+
+
+def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by operator 2; ``n_chars`` follows the new text."""
+    return pii.with_pseudonyms(docs, PSEUDONYM_KEY).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the documents into sequences of 2048 tokens by operator 4."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 2048)
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", without_toxic),
+    ("n-gram Jaccard join", without_near_copies),
+    ("benchmark decontamination", without_benchmark),
+    ("pseudonyms", with_pseudonyms),
+    ("best-fit packing", packed),
+]
+# Classifier, count-vector search, tokenizer and Feistel rounds are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.storage import scratch_path
-from shelfwise.llm import huffman, packing, token_counts
+from shelfwise.llm import decontaminate, huffman, jaccard, packing, pii, quality, token_counts, toxicity
 from shelfwise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,42 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     huffman.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return huffman.read_ids(spark, path)
+
+
+def crc_of_id(divisor: int) -> Column:
+    """The remainder of the checksum of doc_id as text, by which rows are held out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn=crc_of_id(3) != 1)
+    held_out = F.coalesce(crc_of_id(3) == 1, F.lit(False))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+# The key of the registered query; a production run passes a secret of its own.
+PSEUDONYM_KEY = b"registered query"
+
+
+@query
+def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=crc_of_id(4) != 2)
+    held_out = F.coalesce(crc_of_id(4) == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), decontaminate.build(table(spark, sf_dir, "benchmark")))
+
+
+@query
+def op10_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"), words=3, percent=90)

@@ -84,6 +84,12 @@ class Words:
         self.first = np.searchsorted(self.row, np.arange(len(self.bounds)))
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
 def combined(hashes: list[np.ndarray]) -> np.ndarray:
     """Hash of the sequence made of one entry of each array."""
     total = np.full(len(hashes[0]), len(hashes), np.uint64)
