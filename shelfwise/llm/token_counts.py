@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from shelfwise.llm.arrow import over_texts, table
-from shelfwise.llm.vocab import ChunkCache, byte_texts, chunks, tokenizer
+from shelfwise.llm.vocab import ChunkCache, byte_texts, chunks, plain_word, tokenizer
 
 
 def merged_count(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
@@ -58,10 +58,8 @@ def _counter(path: str) -> ChunkCache:
     split = tokenizer(path).pre_tokenizer.pre_tokenize_str
 
     def count(chunk: bytes) -> int:
-        if chunk.isalpha():
-            return merged_count(chunk.decode(), ranks)
-        if chunk[:1] == b" " and chunk[1:].isalpha():
-            return merged_count("Ġ" + chunk[1:].decode(), ranks)  # the byte alphabet's space
+        if (word := plain_word(chunk)) is not None:
+            return merged_count(word, ranks)
         parts, found = [chunk.decode()], 0
         for mark in special:  # strings of special tokens are one token each
             pieces = [p.split(mark) for p in parts]

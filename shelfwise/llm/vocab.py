@@ -8,12 +8,13 @@ an ASCII letter is a piece of its own. Texts with other white space are cut only
 
 from __future__ import annotations
 
+import os
 import re
+from array import array
 from collections.abc import Callable
 from functools import cache
 from itertools import islice
 
-import numpy as np
 from tokenizers import Tokenizer
 
 # Forms of white space that send a text to the careful way of cutting.
@@ -22,7 +23,9 @@ _ODD_SPACE = [b"  ", b"\n\n", b" \n", b"\n ", *(bytes([c]) for c in (9, 11, 12,
 _BORDER = re.compile(r"(?<=\S)(?= \S)")
 _TAIL = b".,;:!?$%&*#"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 800_000
+# Spark runs a task per core; threads of the library's own would only compete with them.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
 @cache
@@ -54,25 +57,56 @@ class ChunkCache:
 
     def values(self, texts: list[bytes]) -> list[list]:
         """For each text the values of its chunks."""
-        lists = [self.cut(t) for t in texts]
-        known = self.known
-        if len(known) > self.entries:
-            known = self.known = dict(islice(known.items(), self.entries // 2))
-        new = {c for pieces in lists for c in pieces if c not in known}
+        if len(self.known) > self.entries:
+            self.known = dict(islice(self.known.items(), self.entries // 2))
+        known, out, gaps, new = self.known, [], [], set()
+        for text in texts:
+            pieces = self.cut(text)
+            found = list(map(known.get, pieces))
+            if None in found:
+                at = [i for i, v in enumerate(found) if v is None]
+                new.update([pieces[i] for i in at])
+                gaps.append((found, pieces, at))
+            out.append(found)
         if new:
-            cores, parts = set(), {}
-            for chunk in new:
-                core = chunk.rstrip(_TAIL)
-                if core != chunk and core and core[-1] in _LETTERS:
-                    parts[chunk] = (core, chunk[len(core) :])
-                    cores.update(parts[chunk])
-                else:
-                    cores.add(chunk)
-            ask = [c for c in cores if c not in known]
-            known.update(zip(ask, self.encode(ask)))
-            for chunk, (core, tail) in parts.items():
-                known[chunk] = known[core] + known[tail]
-        return [list(map(known.__getitem__, pieces)) for pieces in lists]
+            self._learn(new)
+            for found, pieces, at in gaps:
+                for i in at:
+                    found[i] = known[pieces[i]]
+        return out
+
+    def _learn(self, new: set[bytes]) -> None:
+        known, cores, parts = self.known, set(), {}
+        for chunk in new:
+            core = chunk.rstrip(_TAIL)
+            if core != chunk and core and core[-1] in _LETTERS:
+                parts[chunk] = (core, chunk[len(core) :])
+                cores.update(parts[chunk])
+            else:
+                cores.add(chunk)
+        ask = [c for c in cores if c not in known]
+        known.update(zip(ask, self.encode(ask)))
+        for chunk, (core, tail) in parts.items():
+            known[chunk] = known[core] + known[tail]
+
+
+def _byte_alphabet() -> dict[int, int]:
+    """The characters that stand for bytes: printable Latin-1 ones for themselves, the others from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (256 + i for i in range(256))
+    return {byte: byte if byte in plain else next(others) for byte in range(256)}
+
+
+_ALPHABET = _byte_alphabet()
+_WORD = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_LOWER_WORD = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def plain_word(chunk: bytes, pattern: re.Pattern = _WORD) -> str | None:
+    """A word of Latin letters in the byte alphabet, None for any other chunk."""
+    if chunk.isalpha() and (pattern is _WORD or chunk.islower()):
+        return chunk.decode()
+    return chunk.decode("latin-1").translate(_ALPHABET) if pattern.fullmatch(chunk.decode()) else None
 
 
 @cache
@@ -82,10 +116,20 @@ def _ids_cache(path: str) -> ChunkCache:
     library.no_padding()
     # A vocabulary that drops white space gives no id for a lone space.
     drops = not library.encode(" \n", add_special_tokens=False).ids
+    pattern, merge = _LOWER_WORD if drops else _WORD, library.model.tokenize
+
+    def whole(chunk: bytes) -> list[int]:
+        return library.encode(chunk.decode(), add_special_tokens=False).ids
+
+    def merged(word: str) -> list[int]:
+        return [t.id for t in merge(word)]
+
+    # A plain word is one piece to the library, which its model alone then merges.
+    trials = ["a", "the", "zqxj", "tionable", "éñüß"]
+    plain = all(merged(plain_word(t.encode(), pattern)) == whole(t.encode()) for t in trials)
 
     def encode(ask: list[bytes]) -> list[bytes]:
-        found = library.encode_batch_fast([c.decode() for c in ask], add_special_tokens=False)
-        return [np.array(e.ids, np.uint32).tobytes() for e in found]
+        return [array("I", whole(c) if not plain or (word := plain_word(c, pattern)) is None else merged(word)).tobytes() for c in ask]
 
     return ChunkCache(encode, folded_chunks if drops else chunks)
 
