@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.storage import scratch_path
-from shelfwise.llm import decontaminate, huffman, jaccard, packing, pii, quality, token_counts, toxicity
+from shelfwise.llm import decontaminate, fingerprints, huffman, jaccard, packing, pii, quality, secrets, token_counts, toxicity
 from shelfwise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,13 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+@query
+def op5_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_paragraph_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
