@@ -84,18 +84,26 @@ class Code:
         self.symbol[: int(room.sum())] = np.repeat(order, room)
         self.advance = self.lengths[self.symbol].astype(np.int64)
 
-    def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """(bytes, bit offsets of the checkpoints) of the ids of one document."""
+    def encode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """Documents of ``counts`` ids each, every one from a byte on.
+
+        Returns their bytes, the byte at which each begins, the checkpoints as bit offsets within their
+        document, and how many each document has.
+        """
         size = self.lengths[ids].astype(np.int64)
-        end = np.cumsum(size)
-        at = end - size
+        total = np.concatenate([[0], np.cumsum(size)])
+        first = np.cumsum(counts) - counts
+        bits = total[first + counts] - total[first]
+        begin = np.concatenate([[0], np.cumsum((bits + 7) // 8)])
+        within = total[:-1] - np.repeat(total[first], counts)
+        at = within + np.repeat(8 * begin[:-1], counts)
         # Codes of at most 32 bits touch two 32-bit words; sums of disjoint bits are exact in doubles.
-        shift = (64 - size - (at & 31)).astype(np.uint64)
-        placed = self.codes[ids] << shift
-        word, words = at >> 5, (int(end[-1]) + 63) // 32 + 1
-        total = np.bincount(word, (placed >> np.uint64(32)).astype(np.float64), words)
-        total += np.bincount(word + 1, (placed & np.uint64(0xFFFFFFFF)).astype(np.float64), words + 1)[:words]
-        return total.astype(">u4").tobytes()[: (int(end[-1]) + 7) // 8], at[::CHECKPOINT]
+        placed = self.codes[ids] << (64 - size - (at & 31)).astype(np.uint64)
+        word, words = at >> 5, (8 * int(begin[-1]) + 31) // 32 + 1
+        packed = np.bincount(word, (placed >> np.uint64(32)).astype(np.float64), words)
+        packed += np.bincount(word + 1, (placed & np.uint64(0xFFFFFFFF)).astype(np.float64), words + 1)[:words]
+        points = np.flatnonzero((np.arange(len(ids)) - np.repeat(first, counts)) % CHECKPOINT == 0)
+        return packed.astype(">u4").tobytes()[: int(begin[-1])], begin, within[points], -(-counts // CHECKPOINT)
 
     def decode(self, payload: bytes, counts: np.ndarray, checkpoints: np.ndarray) -> np.ndarray:
         """The ids of a block's documents, one after the other."""
@@ -124,12 +132,14 @@ class Code:
 
 def _packed_ids(ids: np.ndarray) -> bytes:
     """Ids in bytes by plane, squeezed, for the table between the two passes."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 4).T).tobytes())
+    planes = ids.view(np.uint8).reshape(-1, 4).T
+    used = 4 if planes[2:].any() else 2
+    return bytes([used]) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes[:used]).tobytes())
 
 
 def _unpacked_ids(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[1:]), np.uint8).reshape(blob[0], -1)
+    return np.ascontiguousarray(planes.T).view(np.uint16 if blob[0] == 2 else np.uint32).ravel()
 
 
 def _shard_bounds(docs: DataFrame, id: str) -> list[int]:
@@ -151,26 +161,24 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, end: int = 0, id: str
     spark, bounds = docs.sparkSession, np.array(_shard_bounds(docs, id), np.int64)
 
     def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = np.array([end], np.uint32).tobytes()
-        for batch in batches:
-            ids = [np.frombuffer(t + tail, np.uint32) for t in token_ids(vocabulary, byte_texts(batch.column("text")))]
-            yield table(doc_id=batch.column("doc_id"), ids=blobs([_packed_ids(x) for x in ids]))
-
-    rows = cut(over_texts(docs, tokenised, "doc_id long, ids binary", id, text))
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        """A row per batch with its documents, and one at the end with the counts of all ids of the task."""
+        tail, total = np.array([end], np.uint32).tobytes(), np.zeros(0, np.int64)
         for batch in batches:
-            for blob in batch.column("ids").to_pylist():
-                some = np.bincount(_unpacked_ids(blob))
-                if len(some) > len(total):
-                    total = np.concatenate([total, np.zeros(len(some) - len(total), np.int64)])
-                total[: len(some)] += some
+            each = token_ids(vocabulary, byte_texts(batch.column("text")))
+            ids = np.frombuffer(tail.join([*each, b""]), np.uint32)
+            some = np.bincount(ids)
+            if len(some) > len(total):
+                total = np.concatenate([total, np.zeros(len(some) - len(total), np.int64)])
+            total[: len(some)] += some
+            yield table(doc_ids=pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                        counts=pa.array([[len(x) // 4 + 1 for x in each]], pa.list_(pa.int64())), ids=blobs([_packed_ids(ids)]))
         used = np.flatnonzero(total)
-        yield table(id=pa.array(used, pa.int64()), n=pa.array(total[used], pa.int64()))
+        yield table(doc_ids=pa.array([used], pa.list_(pa.int64())), counts=pa.array([total[used]], pa.list_(pa.int64())), ids=pa.array([None], pa.binary()))
 
+    rows = cut(over_texts(docs, tokenised, "doc_ids array<long>, counts array<long>, ids binary", id, text))
     # At most one row per id of the vocabulary reaches the driver.
-    counts = rows.select("ids").mapInArrow(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    pairs = rows.where("ids is null").select(F.inline(F.arrays_zip(F.col("doc_ids").alias("id"), F.col("counts").alias("n"))))
+    counts = pairs.groupBy("id").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(max((r["id"] for r in counts), default=0) + 1, np.int64)
     for r in counts:
         total[r["id"]] = r["n"]
@@ -181,12 +189,15 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, end: int = 0, id: str
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = Code(lengths)
         for whole in batches:
-            for batch in (whole.slice(i, 500) for i in range(0, whole.num_rows, 500)):
-                docs_of, ids = batch.column("doc_id"), [_unpacked_ids(b) for b in batch.column("ids").to_pylist()]
-                done = [code.encode(x) for x in ids]
-                shard = np.searchsorted(bounds, docs_of.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="left")
-                yield table(shard=pa.array(shard, pa.int64()), doc_id=docs_of, n=pa.array([len(x) for x in ids], pa.int64()),
-                            checkpoints=pa.array([d[1] for d in done], pa.list_(pa.int64())), payload=blobs([d[0] for d in done]))
+            for row in range(whole.num_rows):
+                doc_ids, n, blob = (whole.column(c)[row] for c in ("doc_ids", "counts", "ids"))
+                doc_ids, n = doc_ids.values, n.values.to_numpy(zero_copy_only=False)
+                payload, begin, points, runs = code.encode(_unpacked_ids(blob.as_py()), n)
+                ends = np.concatenate([[0], np.cumsum(runs)])
+                shard = np.searchsorted(bounds, doc_ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="left")
+                yield table(shard=pa.array(shard, pa.int64()), doc_id=doc_ids, n=pa.array(n, pa.int64()),
+                            checkpoints=pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(points, pa.int64())),
+                            payload=blobs([payload[a:b] for a, b in zip(begin, begin[1:])]))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_ids, shard, number, start = [], 0, None, 0, 0
@@ -214,7 +225,7 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, end: int = 0, id: str
         if held:
             yield block()
 
-    ordered = rows.mapInArrow(encoded, "shard long, doc_id long, n long, checkpoints array<long>, payload binary")
+    ordered = rows.where("ids is not null").mapInArrow(encoded, "shard long, doc_id long, n long, checkpoints array<long>, payload binary")
     ordered = ordered.repartition("shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "n", "payload")
     ordered.mapInArrow(blocks, BLOCKS).write.parquet(f"{path}/blocks")
 

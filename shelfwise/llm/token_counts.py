@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from shelfwise.llm.arrow import over_texts, table
-from shelfwise.llm.vocab import ChunkCache, byte_texts, chunks, plain_word, tokenizer
+from shelfwise.llm.vocab import ChunkCache, byte_texts, plain_word, tokenizer
 
 
 def merged_count(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
@@ -67,7 +67,7 @@ def _counter(path: str) -> ChunkCache:
             parts = [p for some in pieces for p in some]
         return found + sum(merged_count(piece, ranks) for part in parts if part for piece, _ in split(part))
 
-    return ChunkCache(lambda ask: [count(c) for c in ask], chunks)
+    return ChunkCache(lambda ask: [count(c) for c in ask])
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id: str = "doc_id", text: str = "text") -> DataFrame:

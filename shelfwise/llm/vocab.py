@@ -34,11 +34,15 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 def chunks(text: bytes) -> list[bytes]:
-    """Pieces of UTF-8 text whose token ids, one after the other, are those of the text."""
+    """Keys of the pieces of UTF-8 text whose token ids, one after the other, are those of the text; see ``literal``."""
     if text[:1].isspace() or text[-1:].isspace() or any(odd in text for odd in _ODD_SPACE):
-        return [c.encode() for c in _BORDER.split(text.decode())]
-    # 255 does not occur in UTF-8
-    return text.replace(b" ", b"\xff ").replace(b"\n", b"\xff\n").split(b"\xff") if text else []
+        return [b"\xff" + c.encode() for c in _BORDER.split(text.decode())]
+    return (b"\xff" + text.replace(b"\n", b" \n")).split(b" ") if text else []
+
+
+def literal(key: bytes) -> bytes:
+    """The piece of text a key of ``chunks`` stands for: with the space before it, but for line breaks and what 255 marks."""
+    return key[1:] if key[:1] == b"\xff" else key if key[:1] == b"\n" else b" " + key
 
 
 def folded_chunks(text: bytes) -> list[bytes]:
@@ -52,8 +56,9 @@ class ChunkCache:
     Beyond ``entries`` the later half is forgotten: frequent chunks were met early.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list], cut: Callable[[bytes], list[bytes]], entries: int = CACHE_ENTRIES):
-        self.encode, self.cut, self.entries, self.known = encode, cut, entries, {}
+    def __init__(self, encode: Callable[[list[bytes]], list], folded: bool = False, entries: int = CACHE_ENTRIES):
+        self.encode, self.folded, self.entries, self.known = encode, folded, entries, {}
+        self.cut = folded_chunks if folded else chunks
 
     def values(self, texts: list[bytes]) -> list[list]:
         """For each text the values of its chunks."""
@@ -80,12 +85,12 @@ class ChunkCache:
         for chunk in new:
             core = chunk.rstrip(_TAIL)
             if core != chunk and core and core[-1] in _LETTERS:
-                parts[chunk] = (core, chunk[len(core) :])
+                parts[chunk] = (core, (b"" if self.folded else b"\xff") + chunk[len(core) :])
                 cores.update(parts[chunk])
             else:
                 cores.add(chunk)
         ask = [c for c in cores if c not in known]
-        known.update(zip(ask, self.encode(ask)))
+        known.update(zip(ask, self.encode(ask if self.folded else list(map(literal, ask)))))
         for chunk, (core, tail) in parts.items():
             known[chunk] = known[core] + known[tail]
 
@@ -131,7 +136,7 @@ def _ids_cache(path: str) -> ChunkCache:
     def encode(ask: list[bytes]) -> list[bytes]:
         return [array("I", whole(c) if not plain or (word := plain_word(c, pattern)) is None else merged(word)).tobytes() for c in ask]
 
-    return ChunkCache(encode, folded_chunks if drops else chunks)
+    return ChunkCache(encode, bool(drops))
 
 
 def token_ids(path: str, texts: list[bytes]) -> list[bytes]:
