@@ -1,15 +1,15 @@
 """Exact n-gram Jaccard self-join by count vectors in R-trees.
 
-A document is its set of word shingles. Shingles are hashed into m groups, and the numbers of
+A document is its set of word shingles. Shingles are hashed into GROUPS groups, and the numbers of
 shingles per group are the document's point. Two sets overlap in at most the sum of the smaller
 coordinates, which an R-tree bounds for all points of a node by the node's largest coordinates.
 
-How the work is spread. Sets of size below U that reach the similarity differ in at most D shingles,
-so with more than D groups one group at least holds the same shingles in both. Equal sets are folded
-first. The group contents of the rest are hashed to keys; sets that share a key are candidates, and
-candidates that hang together form a family. Each family's sets are checked against its smallest
-member, which settles copies of one text in one pass. Only members that are not connected then search
-the family's R-trees, and pairs that survive the bound are verified on the sets.
+How the work is spread. Equal sets are folded first. Under one order of all shingles, in which those
+of common parts of texts come last, sets that reach the similarity share one of their first few; sets
+that share one are a cell. In each cell the points whose bound allows the similarity are joined, by
+the cell's smallest set where that does it, else by R-tree; what hangs together is a family. Family
+members are verified on their sets against the smallest, which settles copies of one text in one
+pass, and those not connected then search the family's R-tree and are verified too.
 """
 
 from __future__ import annotations
@@ -24,66 +24,35 @@ from pyspark.sql import DataFrame, functions as F
 from shelfwise.functions.storage import cut
 from shelfwise.llm.arrow import blobs, over_texts, table
 from shelfwise.llm.links import components
-from shelfwise.llm.texts import NOT_SPACE, Words, distinct, mix, shingles, text_bytes
+from shelfwise.llm.texts import NOT_SPACE, Words, distinct, shingles, text_bytes
 
+GROUPS = 64
 BUCKET_KEYS = 100_000  # keys that meet in one group of the candidate search
+CELL_MEMBERS = 4_000  # points of a cell that one task searches against each other, times two
+CELL_ROWS = 50_000  # points of several cells that one task works through
 BLOCK_SHINGLES = 2_000_000  # shingles of a family that one task holds on either side
 LEAF, FANOUT = 16, 8
 BROADCAST_IDS = 1_000_000
+COMMON_BITS = 20
+COMMON_LEAST, COMMON_TIMES = 16, 8  # a hash range is common in a task from so many documents, and times the mean
 
 
-class Bands:
-    """Sizes in bands of growing width; partners differ by at most ``spread(band)`` shingles.
-
-    A set belongs to the band of its size, and to the next one too where a partner may be there.
-    """
-
-    def __init__(self, percent: int):
-        self.percent = percent
-        grow = max(1.5, 100 / percent)
-        self.low = [1]
-        while self.low[-1] < 1 << 40:
-            self.low.append(int(np.ceil(self.low[-1] * grow)) + 1)
-
-    def of(self, n: int) -> list[int]:
-        band = int(np.searchsorted(self.low, n, side="right")) - 1
-        return [band, band + 1] if 100 * n >= self.percent * self.low[band + 1] else [band]
-
-    def spread(self, band: int) -> int:
-        return 2 * (self.low[band + 1] - 1) * (100 - self.percent) // (100 + self.percent)
-
-    def groups(self, band: int) -> int:
-        """One group more than can differ, and some to spare for empty ones."""
-        spread = self.spread(band)
-        return spread + 3 + spread // 64 if spread else 0
+def point(found: np.ndarray) -> np.ndarray:
+    """Count vector of a sorted set; a group is a range of the hash."""
+    edges = np.arange(1, GROUPS, dtype=np.uint64) << np.uint64(64 - GROUPS.bit_length() + 1)
+    counts = np.diff(np.concatenate([[0], np.searchsorted(found, edges), [len(found)]]))
+    return counts.astype(np.uint16 if len(found) < 1 << 16 else np.uint32)
 
 
-def _group_bounds(found: np.ndarray, groups: int) -> np.ndarray:
-    """Borders of the groups in sorted shingle hashes; a group is a range of the hash."""
-    edges = (np.arange(1, groups, dtype=np.uint64) << np.uint64(32)) // np.uint64(groups) << np.uint64(32)
-    return np.concatenate([[0], np.searchsorted(found, edges), [len(found)]])
+def points(raw: list[bytes]) -> np.ndarray:
+    """Count vectors as one array from their bytes."""
+    return np.array([np.frombuffer(r, np.uint16 if len(r) == 2 * GROUPS else np.uint32) for r in raw], np.int32).reshape(len(raw), GROUPS)
 
 
-def group_keys(found: np.ndarray, band: int, bands: Bands) -> np.ndarray:
-    """Keys of the contents of the groups, empty ones only where there are too many of them.
-
-    Two sets with at most D differences agree on m - D groups or more. If either has fewer empty
-    groups than that, they agree on one with contents; otherwise both have keys for the empty ones.
-    """
-    groups = bands.groups(band)
-    if not groups:
-        return np.empty(0, np.uint64)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(mix(found ^ np.uint64(0xA5A5A5A5DEADBEEF)))])
-    bounds = _group_bounds(found, groups)
-    filled = np.diff(bounds) > 0
-    content = total[bounds[1:]] - total[bounds[:-1]]
-    key = mix(content + mix(np.arange(groups, dtype=np.uint64) + np.uint64((band + 1) << 40)))
-    return key if groups - int(filled.sum()) >= groups - bands.spread(band) else key[filled]
-
-
-def points(sets: list[np.ndarray], groups: int) -> np.ndarray:
-    """Count vectors of the sets."""
-    return np.array([np.diff(_group_bounds(s, groups)) for s in sets], np.int32).reshape(len(sets), groups)
+def first_shingles(found: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
+    """So many of the first shingles that two sets with the similarity share one: all but the overlap needed, and one."""
+    count = len(found) - -(-percent * len(found) // 100) + 1
+    return found[np.argsort(common[found >> np.uint64(64 - COMMON_BITS)], kind="stable")[:count]]
 
 
 def needed(a, b, percent: int):
@@ -139,39 +108,51 @@ def text_sets(column: pa.Array, words_in: int) -> list[np.ndarray]:
     return [distinct(found[a:b]) for a, b in zip(ends, ends[1:])]
 
 
-def _sketches(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """One row per document and band: size, digest of the set, keys of its groups; ``home`` marks one of them."""
+def _common_ranges(docs: DataFrame, words: int) -> np.ndarray:
+    """How common each of 2**COMMON_BITS ranges of the hash is: 0, or the binary logarithm of its documents.
+
+    It only decides the order of shingles, so tasks report just the ranges that stand out in their rows.
+    """
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COMMON_BITS, np.int64)
+        for batch in batches:
+            sets = text_sets(batch.column("text"), words)
+            total += np.bincount((np.concatenate(sets) >> np.uint64(64 - COMMON_BITS)).astype(np.int64), minlength=1 << COMMON_BITS)
+        out = np.flatnonzero(total >= max(COMMON_LEAST, COMMON_TIMES * total.mean()))
+        yield table(range=pa.array(out, pa.int64()), n=pa.array(total[out], pa.int64()))
+
+    found = over_texts(docs, counted, "range long, n long").groupBy("range").agg(F.sum("n").alias("n")).collect()
+    common = np.zeros(1 << COMMON_BITS, np.uint8)
+    for r in found:
+        common[r["range"]] = r["n"].bit_length()
+    return common
+
+
+def _sketches(docs: DataFrame, words: int, percent: int, common: np.ndarray) -> DataFrame:
+    """One row per document: size, digest of the set, its first shingles as keys, its point."""
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
         for batch in batches:
-            rows = []
-            for doc, found in zip(batch.column("doc_id").to_pylist(), text_sets(batch.column("text"), words)):
-                digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-                for i, band in enumerate(bands.of(len(found)) if len(found) else [0]):
-                    rows.append((doc, len(found), digest, i == 0, group_keys(found, band, bands).tobytes()))
-            doc, n, digest, home, keys = zip(*rows)
-            yield table(doc_id=pa.array(doc, pa.int64()), n=pa.array(n, pa.int64()), digest=blobs(digest),
-                        home=pa.array(home, pa.bool_()), keys=blobs(keys))
+            sets = text_sets(batch.column("text"), words)
+            yield table(doc_id=batch.column("doc_id"), n=pa.array([len(s) for s in sets], pa.int64()),
+                        digest=blobs([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]),
+                        keys=blobs([first_shingles(s, common, percent).tobytes() if len(s) else b"" for s in sets]),
+                        point=blobs([point(s).tobytes() for s in sets]))
 
-    return over_texts(docs, sketched, "doc_id long, n long, digest binary, home boolean, keys binary")
+    return over_texts(docs, sketched, "doc_id long, n long, digest binary, keys binary, point binary")
 
 
-def _star(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first entry of each key, a, b): every other set of a key with the key's smallest, distinct."""
+def _star(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first entry of each key, keys, a, b): every other set of a key with the key's smallest."""
     order = np.lexsort((doc, key))
     key, doc = key[order], doc[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
     low = doc[np.flatnonzero(new)[np.cumsum(new) - 1]]
     some = low != doc
-    a, b = low[some], doc[some]
-    by = np.lexsort((b, a))
-    a, b = a[by], b[by]
-    once = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(a)]
-    return order[new], a[once], b[once]
+    return order[new], key[some], low[some], doc[some]
 
 
 def _stars(firsts: DataFrame) -> DataFrame:
-    """(a, b): a set's smallest candidate partner under each of its keys, distinct.
+    """(key, a, b): the cells of more than one set, each other set of a cell with a smaller one of it.
 
     Keys travel packed. Sets of one batch that share a key are joined to the smallest of them there,
     which alone goes on, so that a key most sets share costs one entry per batch.
@@ -187,7 +168,7 @@ def _stars(firsts: DataFrame) -> DataFrame:
                 doc = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), [len(r) // 8 for r in raw])
                 if not len(key):
                     continue
-                kept, a, b = _star(key, doc)
+                kept, *pairs = _star(key, doc)
                 key, doc = key[kept], doc[kept]
                 bucket = ((key >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
@@ -196,15 +177,83 @@ def _stars(firsts: DataFrame) -> DataFrame:
                 ends, rest = [*at[1:], len(key)], [b""] * (len(at) - 1)  # pairs found here travel with the first bucket
                 yield table(bucket=pa.array(bucket[at], pa.int64()), keys=blobs([key[i:j].tobytes() for i, j in zip(at, ends)]),
                             docs=blobs([doc[i:j].tobytes() for i, j in zip(at, ends)]),
-                            a=blobs([a.tobytes(), *rest]), b=blobs([b.tobytes(), *rest]))
+                            **{n: blobs([p.tobytes(), *rest]) for n, p in zip("kab", pairs)})
 
     def met(group):
-        keys, docs, a, b = (b"".join(group.column(c).to_pylist()) for c in ("keys", "docs", "a", "b"))
-        _, c, d = _star(np.frombuffer(keys, np.uint64), np.frombuffer(docs, np.int64))
-        return pa.table({"a": np.concatenate([np.frombuffer(a, np.int64), c]), "b": np.concatenate([np.frombuffer(b, np.int64), d])})
+        keys, docs, *before = (np.frombuffer(b"".join(group.column(c).to_pylist()), t) for c, t in (
+            ("keys", np.uint64), ("docs", np.int64), ("k", np.uint64), ("a", np.int64), ("b", np.int64)))
+        k, a, b = (np.concatenate(pair) for pair in zip(before, _star(keys, docs)[1:]))
+        return pa.table({"key": k.view(np.int64), "a": a, "b": b})
 
-    packed = firsts.select("doc_id", "keys").mapInArrow(spread, "bucket long, keys binary, docs binary, a binary, b binary")
-    return packed.groupBy("bucket").applyInArrow(met, "a long, b long").distinct()
+    packed = firsts.select("doc_id", "keys").mapInArrow(spread, "bucket long, keys binary, docs binary, k binary, a binary, b binary")
+    return packed.groupBy("bucket").applyInArrow(met, "key long, a long, b long")
+
+
+def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b, good): whether sizes and points of rows (a, b, na, nb, pa, pb) allow the similarity."""
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in (whole.slice(i, 4000) for i in range(0, whole.num_rows, 4000)):
+                na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+                most = np.minimum(points(batch.column("pa").to_pylist()), points(batch.column("pb").to_pylist())).sum(axis=1)
+                yield table(a=batch.column("a"), b=batch.column("b"), good=pa.array(most >= needed(na, nb, percent)))
+
+    return pairs.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(judged, "a long, b long, good boolean")
+
+
+def _cell_forest(percent: int):
+    """A function that joins the points of each cell whose bound allows the similarity, with as few pairs as do it."""
+    def forest(group):
+        key, doc, n = (group.column(c).to_numpy() for c in ("key", "doc_id", "n"))
+        vectors = points(group.column("point").to_pylist())
+        order = np.lexsort((doc, key))
+        key, doc, n, vectors = key[order], doc[order], n[order], vectors[order]
+        at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        a, b = [], []
+        for lo, hi in zip(at, [*at[1:], len(key)]):
+            above = list(range(hi - lo))
+
+            def root(x: int) -> int:
+                while above[x] != x:
+                    above[x] = x = above[above[x]]
+                return x
+
+            tree = CountTree(vectors[lo:hi], n[lo:hi])
+            for i in range(hi - lo):
+                for j in tree.search(vectors[lo + i], n[lo + i], percent):
+                    x, y = root(i), root(int(j))
+                    if x != y:
+                        above[max(x, y)] = min(x, y)
+                        a.append(doc[lo + i])
+                        b.append(doc[lo + j])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return forest
+
+
+def _families(sketches: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, family) of the sets that a chain of pairs within the bound connects with others of their cells."""
+    stars = cut(_stars(sketches))
+    places = sketches.select("doc_id", "n", "point")
+    involved = cut(places.join(_few(stars.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), "doc_id", "left_semi"))
+    end = lambda c: involved.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("point").alias(f"p{c}"))
+    judged = cut(_bounded(stars.select("a", "b").distinct().join(end("a"), "a").join(end("b"), "b"), percent))
+    # Cells that their smallest set does not hold together are searched.
+    loose = stars.join(judged.where("not good"), ["a", "b"], "left_semi").select("key").distinct()
+    cells = cut(stars.join(loose, "key", "left_semi").groupBy("key").agg(F.count("*").alias("pairs")).where("pairs > 1"))
+    blocks = F.ceil(F.col("pairs") / CELL_MEMBERS).cast("int")
+    members = stars.join(cells.select("key", blocks.alias("blocks")), "key").select("key", "blocks", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    members = cut(members.join(involved, "doc_id"))
+    tasks = members.count() // CELL_ROWS + 1
+    small = members.where("blocks = 1").withColumn("task", F.pmod(F.xxhash64("key"), F.lit(tasks))).withColumn("other", F.lit(-1))
+    # A large cell is searched by every two of its blocks.
+    block, every = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
+    large = members.where("blocks > 1").withColumn("block", block).withColumn("with", F.explode(every)).where("block <> with")
+    large = large.withColumn("task", F.xxhash64("key", F.least("block", "with"))).withColumn("other", F.greatest("block", "with"))
+    columns = ["task", "other", "key", "doc_id", "n", "point"]
+    found = small.select(*columns).union(large.select(*columns)).groupBy("task", "other").applyInArrow(_cell_forest(percent), "a long, b long")
+    pairs = judged.where("good").select("a", "b").union(found)
+    return components(pairs).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
 
 
 def _verified(pairs: DataFrame, percent: int) -> DataFrame:
@@ -219,12 +268,10 @@ def _verified(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _searching(percent: int):
-    """A function that links the strays of one block with its other sets, by an R-tree for each band.
+    """A function that links the strays of one block with its other sets, by R-tree.
 
     Sets that are connected already, before or by a link found here, are not compared again.
     """
-    bands = Bands(percent)
-
     def searched(group):
         doc, stray, part, raw = (group.column(c).to_pylist() for c in ("doc_id", "stray", "part", "shingles"))
         sets, above, a, b = [np.frombuffer(r, np.uint64) for r in raw], {p: p for p in part}, [], []
@@ -234,23 +281,17 @@ def _searching(percent: int):
                 above[x] = x = above[above[x]]
             return x
 
-        by_band: dict[int, list[int]] = {}
-        for i, found in enumerate(sets):
-            for band in bands.of(len(found)):
-                by_band.setdefault(band, []).append(i)
-        for band, members in sorted(by_band.items()):
-            strays, others, groups = [i for i in members if stray[i]], [i for i in members if not stray[i]], bands.groups(band)
-            if not strays or not others or not groups:
-                continue
-            tree = CountTree(points([sets[i] for i in others], groups), np.array([len(sets[i]) for i in others]))
-            for i in strays:
-                for j in tree.search(points([sets[i]], groups)[0], len(sets[i]), percent):
-                    j = others[j]
-                    mine, other = root(part[i]), root(part[j])
-                    if mine != other and linked(sets[i], sets[j], percent):
-                        above[max(mine, other)] = min(mine, other)
-                        a.append(doc[i])
-                        b.append(doc[j])
+        others = [i for i in range(len(doc)) if not stray[i]]
+        vectors = points([point(s).tobytes() for s in sets])
+        tree = CountTree(vectors[others], np.array([len(sets[i]) for i in others]))
+        for i in (i for i in range(len(doc)) if stray[i]):
+            for j in tree.search(vectors[i], len(sets[i]), percent):
+                j = others[j]
+                mine, other = root(part[i]), root(part[j])
+                if mine != other and linked(sets[i], sets[j], percent):
+                    above[max(mine, other)] = min(mine, other)
+                    a.append(doc[i])
+                    b.append(doc[j])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return searched
@@ -311,14 +352,13 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, id: str =
     result. Shingles are compared by 64-bit hashes. Other columns are ignored.
     """
     plain = docs.select(docs[id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    sketches = cut(_sketches(plain, words, percent))
+    sketches = cut(_sketches(plain, words, percent, _common_ranges(plain, words)))
     firsts = cut(sketches.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id")))
-    # Copies of a set have the same keys; those of the smallest id stand for all.
-    alone = sketches.where("octet_length(keys) > 0").join(_few(firsts), ["digest", "doc_id"], "left_semi")
-    families = components(_stars(alone)).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
-    labels = components(_links(plain, families, words, percent))
+    # Copies of a set have the same keys; the one of the smallest id stands for all.
+    alone = sketches.where("n > 0").join(_few(firsts), ["digest", "doc_id"], "left_semi")
+    labels = components(_links(plain, _families(alone, percent), words, percent))
     labelled = firsts.join(labels, firsts["doc_id"] == labels["node"], "left").select(
         "digest", F.coalesce("component", "doc_id").alias("component_id"))
-    whole = sketches.where("home").select("doc_id", F.col("n").alias("n_shingles"), "digest").join(labelled, "digest", "left")
+    whole = sketches.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(labelled, "digest", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
     return whole.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
