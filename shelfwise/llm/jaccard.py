@@ -224,8 +224,9 @@ def _cell_forest(percent: int):
                     x, y = root(i), root(int(j))
                     if x != y:
                         above[max(x, y)] = min(x, y)
-                        a.append(doc[lo + i])
-                        b.append(doc[lo + j])
+            joined = [(root(i), i) for i in range(hi - lo) if root(i) != i]  # with the smallest of those it hangs together with
+            a += [doc[lo + i] for i, _ in joined]
+            b += [doc[lo + i] for _, i in joined]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return forest
@@ -268,13 +269,13 @@ def _verified(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _searching(percent: int):
-    """A function that links the strays of one block with its other sets, by R-tree.
+    """A function that connects the parts of a family that links between its strays and other sets connect.
 
-    Sets that are connected already, before or by a link found here, are not compared again.
+    An R-tree returns the sets within the bound of a stray, and these are verified on their shingles.
     """
     def searched(group):
         doc, stray, part, raw = (group.column(c).to_pylist() for c in ("doc_id", "stray", "part", "shingles"))
-        sets, above, a, b = [np.frombuffer(r, np.uint64) for r in raw], {p: p for p in part}, [], []
+        sets, above = [np.frombuffer(r, np.uint64) for r in raw], {p: p for p in part}
 
         def root(x: int) -> int:
             while above[x] != x:
@@ -282,17 +283,24 @@ def _searching(percent: int):
             return x
 
         others = [i for i in range(len(doc)) if not stray[i]]
+        sizes = np.array([len(sets[i]) for i in others])
         vectors = points([point(s).tobytes() for s in sets])
-        tree = CountTree(vectors[others], np.array([len(sets[i]) for i in others]))
+        tree = CountTree(vectors[others], sizes)
+        # Shingle -> those who have it, to verify a stray against all that its search returns at once.
+        shingle, owner = np.concatenate([sets[i] for i in others]), np.repeat(np.arange(len(others)), sizes)
+        order = np.argsort(shingle, kind="stable")
+        shingle, owner = shingle[order], owner[order]
         for i in (i for i in range(len(doc)) if stray[i]):
-            for j in tree.search(vectors[i], len(sets[i]), percent):
-                j = others[j]
-                mine, other = root(part[i]), root(part[j])
-                if mine != other and linked(sets[i], sets[j], percent):
+            near = tree.search(vectors[i], len(sets[i]), percent)
+            lo, hi = np.searchsorted(shingle, sets[i], side="left"), np.searchsorted(shingle, sets[i], side="right")
+            at = np.arange((hi - lo).sum()) + np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo)
+            common = np.bincount(owner[at], minlength=len(others))[near]
+            for j in near[common >= needed(sizes[near], len(sets[i]), percent)].tolist():
+                mine, other = root(part[i]), root(part[others[j]])
+                if mine != other:
                     above[max(mine, other)] = min(mine, other)
-                    a.append(doc[i])
-                    b.append(doc[j])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        joined = [(root(p), p) for p in above if root(p) != p]  # parts are named after one of their sets
+        return pa.table({"a": pa.array([a for a, _ in joined], pa.int64()), "b": pa.array([b for _, b in joined], pa.int64())})
 
     return searched
 

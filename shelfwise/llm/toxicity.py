@@ -66,8 +66,11 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
-def ftrl(examples: list[tuple[np.ndarray, int]]) -> ToxicityModel:
-    """FTRL-proximal over (coordinates, label) examples, passed EPOCHS times in the order given."""
+def ftrl(coordinates: np.ndarray, ends: np.ndarray, labels: np.ndarray) -> ToxicityModel:
+    """FTRL-proximal over examples, passed EPOCHS times in the order given.
+
+    Example i has the coordinates from ends[i] up to ends[i + 1].
+    """
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)  # the last coordinate is the bias
     free = 1 << BITS
 
@@ -77,8 +80,8 @@ def ftrl(examples: list[tuple[np.ndarray, int]]) -> ToxicityModel:
         return np.where(np.abs(some) <= l1, 0.0, -(some - np.sign(some) * l1) / ((BETA + np.sqrt(n[at])) / ALPHA + L2))
 
     for _ in range(EPOCHS):
-        for at, label in examples:
-            at = np.append(at, free)
+        for a, b, label in zip(ends.tolist(), ends[1:].tolist(), labels.tolist()):
+            at = np.append(coordinates[a:b].astype(np.int64), free)
             w = weights(at)
             gradient = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - label
             step = (np.sqrt(n[at] + gradient * gradient) - np.sqrt(n[at])) / ALPHA
@@ -115,9 +118,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn: Column
             yield table(place=batch.column("place"), y=batch.column("y"), at=blobs([at[a:b].tobytes() for a, b in zip(ends, ends[1:])]))
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        examples = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("place", "at", "y")))]
-        examples.sort()
-        model = ftrl([(np.frombuffer(at, np.uint32).astype(np.int64), y) for _, at, y in examples])
+        batches = list(batches)
+        if not batches:
+            return
+        rows = pa.Table.from_batches(batches).sort_by("place")
+        ends = np.cumsum([0, *pc.binary_length(rows.column("at")).to_pylist()]) // 4
+        model = ftrl(np.frombuffer(b"".join(rows.column("at").to_pylist()), np.uint32), ends, rows.column("y").to_numpy())
         yield table(at=blobs([model.coordinates.tobytes()]), w=blobs([model.weights.tobytes()]), bias=pa.array([model.bias]))
 
     prepared = over_texts(rows, extracted, "place long, y int, at binary", "doc_id", "text", {"place": order, "y": F.col("y")})

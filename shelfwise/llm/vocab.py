@@ -23,7 +23,7 @@ _ODD_SPACE = [b"  ", b"\n\n", b" \n", b"\n ", *(bytes([c]) for c in (9, 11, 12,
 _BORDER = re.compile(r"(?<=\S)(?= \S)")
 _TAIL = b".,;:!?$%&*#"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 500_000
 # Spark runs a task per core; threads of the library's own would only compete with them.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
