@@ -19,18 +19,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.functions.storage import cut
 from shelfwise.llm.arrow import blobs, over_texts, table
 from shelfwise.llm.links import components
 from shelfwise.llm.texts import NOT_SPACE, Words, distinct, shingles, text_bytes
 
-GROUPS = 64
+GROUPS = 256
 BUCKET_KEYS = 100_000  # keys that meet in one group of the candidate search
 CELL_MEMBERS = 4_000  # points of a cell that one task searches against each other, times two
 CELL_ROWS = 50_000  # points of several cells that one task works through
-BLOCK_SHINGLES = 2_000_000  # shingles of a family that one task holds on either side
+HEADS = 6  # members of an unsettled family that all others are verified against
+BLOCK_SHINGLES = 4_000_000  # shingles of a family that one task holds on either side
 LEAF, FANOUT = 16, 8
 BROADCAST_IDS = 1_000_000
 COMMON_BITS = 20
@@ -41,12 +42,12 @@ def point(found: np.ndarray) -> np.ndarray:
     """Count vector of a sorted set; a group is a range of the hash."""
     edges = np.arange(1, GROUPS, dtype=np.uint64) << np.uint64(64 - GROUPS.bit_length() + 1)
     counts = np.diff(np.concatenate([[0], np.searchsorted(found, edges), [len(found)]]))
-    return counts.astype(np.uint16 if len(found) < 1 << 16 else np.uint32)
+    return counts.astype(np.uint8 if counts.max() < 1 << 8 else np.uint32)
 
 
 def points(raw: list[bytes]) -> np.ndarray:
     """Count vectors as one array from their bytes."""
-    return np.array([np.frombuffer(r, np.uint16 if len(r) == 2 * GROUPS else np.uint32) for r in raw], np.int32).reshape(len(raw), GROUPS)
+    return np.array([np.frombuffer(r, np.uint8 if len(r) == GROUPS else np.uint32) for r in raw], np.int32).reshape(len(raw), GROUPS)
 
 
 def first_shingles(found: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
@@ -274,8 +275,8 @@ def _searching(percent: int):
     An R-tree returns the sets within the bound of a stray, and these are verified on their shingles.
     """
     def searched(group):
-        doc, stray, part, raw = (group.column(c).to_pylist() for c in ("doc_id", "stray", "part", "shingles"))
-        sets, above = [np.frombuffer(r, np.uint64) for r in raw], {p: p for p in part}
+        doc, stray, part = (group.column(c).to_pylist() for c in ("doc_id", "stray", "part"))
+        sets, above = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")], {p: p for p in part}
 
         def root(x: int) -> int:
             while above[x] != x:
@@ -325,24 +326,42 @@ def _member_sets(docs: DataFrame, families: DataFrame, words: int) -> DataFrame:
 def _links(docs: DataFrame, families: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): links that connect whatever is connected within the families."""
     sets = _member_sets(docs, families, words)
-    heads = sets.where("doc_id = family").select("family", F.col("shingles").alias("sa"))
-    pairs = sets.where("doc_id <> family").join(heads, "family").select(
-        F.col("family").alias("a"), F.col("doc_id").alias("b"), "sa", F.col("shingles").alias("sb"))
-    links = cut(_verified(pairs, percent))
-    members = sets.select("doc_id", "family", "n").join(links.select(F.col("b").alias("doc_id")).distinct().withColumn("with_head", F.lit(True)), "doc_id", "left")
-    # The head is the smallest of its family, so what is linked to it is one part already.
-    part = F.when(F.col("with_head"), F.col("family")).otherwise(F.col("doc_id"))
-    members = cut(members.select("doc_id", "family", "n", part.alias("part")))
-    stray_n = F.sum(F.when(F.col("part") != F.col("family"), F.col("n")).otherwise(0))
+    names = sets.select("doc_id", "family", "n")
+
+    def parted(links: DataFrame) -> DataFrame:
+        """(doc_id, family, n, part): what is connected so far, named after its smallest set."""
+        labels = components(links)
+        found = names.join(labels, names["doc_id"] == labels["node"], "left")
+        return cut(found.select("doc_id", "family", "n", F.coalesce("component", "doc_id").alias("part")))
+
+    def with_heads(heads: DataFrame, wanted: DataFrame) -> DataFrame:
+        """Links between sets and the heads of their family."""
+        heads = sets.join(_few(heads), "doc_id", "left_semi").select("family", F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
+        pairs = wanted.select("family", F.col("doc_id").alias("b"), F.col("shingles").alias("sb")).join(heads, "family").where("a <> b")
+        return cut(_verified(pairs, percent))
+
+    links = with_heads(names.where("doc_id = family").select("doc_id"), sets)
+    members = parted(links)
+    # Families that their smallest set does not settle get further heads, so that few sets are left to search for.
+    rest = members.where("part <> family")
+    draw = Window.partitionBy("family").orderBy(F.xxhash64("doc_id"), "doc_id")
+    heads = cut(rest.withColumn("draw", F.row_number().over(draw)).where(F.col("draw") <= HEADS).select("doc_id", "family"))
+    unsettled = sets.join(_few(heads.select("family").distinct()), "family", "left_semi")
+    links = links.union(with_heads(heads.select("doc_id"), unsettled))
+    members = parted(links)
+    sizes = members.groupBy("family", "part").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("family").agg(F.max_by("part", F.struct("n", "part")).alias("main"))
+    members = cut(members.join(main, "family"))
+    stray_n = F.sum(F.when(F.col("part") != F.col("main"), F.col("n")).otherwise(0))
     blocks = lambda total: F.ceil(total / BLOCK_SHINGLES).cast("int")
     open_families = cut(members.groupBy("family").agg(blocks(stray_n).alias("stray_blocks"), blocks(F.sum("n")).alias("blocks")).where("stray_blocks > 0"))
     if not open_families.limit(1).count():
         return links
-    wanted = sets.join(members.select("doc_id", "part"), "doc_id").join(open_families, "family")
+    wanted = sets.join(members.select("doc_id", "part", "main"), "doc_id").join(open_families, "family")
     row = ["family", "doc_id", "part", "shingles"]
     at = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    strays = wanted.where("part <> family").select(*row, F.lit(True).alias("stray"), at("stray_blocks").alias("i"), every("blocks").alias("j"))
+    strays = wanted.where("part <> main").select(*row, F.lit(True).alias("stray"), at("stray_blocks").alias("i"), every("blocks").alias("j"))
     others = wanted.select(*row, F.lit(False).alias("stray"), at("blocks").alias("j"), every("stray_blocks").alias("i"))
     found = strays.unionByName(others).groupBy("family", "i", "j").applyInArrow(_searching(percent), "a long, b long")
     return links.union(found)
