@@ -91,16 +91,6 @@ class CountTree:
         return self.order[nodes[fits]]
 
 
-def overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """Size of the intersection of two sorted sets."""
-    at = np.searchsorted(b, a)
-    return int((b[np.minimum(at, len(b) - 1)] == a).sum()) if len(a) and len(b) else 0
-
-
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    return overlap(a, b) >= needed(len(a), len(b), percent)
-
-
 def text_sets(column: pa.Array, words_in: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     words = Words(*text_bytes(column), NOT_SPACE)
@@ -260,13 +250,8 @@ def _families(sketches: DataFrame, percent: int) -> DataFrame:
 
 def _verified(pairs: DataFrame, percent: int) -> DataFrame:
     """(a, b) of rows (a, b, sa, sb) whose sets are linked."""
-    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())
-            good = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in sets]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(checked, "a long, b long")
+    common = F.size(F.array_intersect("sa", "sb")).cast("long")
+    return pairs.where(common * (100 + percent) >= (F.size("sa") + F.size("sb")).cast("long") * percent).select("a", "b")
 
 
 def _searching(percent: int):
@@ -276,7 +261,9 @@ def _searching(percent: int):
     """
     def searched(group):
         doc, stray, part = (group.column(c).to_pylist() for c in ("doc_id", "stray", "part"))
-        sets, above = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")], {p: p for p in part}
+        above, raw = {p: p for p in part}, group.column("shingles").combine_chunks()
+        ends, flat = raw.offsets.to_numpy(), raw.values.to_numpy(zero_copy_only=False).view(np.uint64)
+        sets = [flat[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
         def root(x: int) -> int:
             while above[x] != x:
@@ -317,10 +304,10 @@ def _member_sets(docs: DataFrame, families: DataFrame, words: int) -> DataFrame:
         for batch in batches:
             sets = text_sets(batch.column("text"), words)
             yield table(doc_id=batch.column("doc_id"), family=batch.column("family"), n=pa.array([len(s) for s in sets], pa.int64()),
-                        shingles=blobs([s.tobytes() for s in sets]))
+                        shingles=pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())))
 
     rows = docs.join(_few(families), "doc_id")
-    return cut(over_texts(rows, spelled, "doc_id long, family long, n long, shingles binary", more={"family": F.col("family")}))
+    return cut(over_texts(rows, spelled, "doc_id long, family long, n long, shingles array<long>", more={"family": F.col("family")}))
 
 
 def _links(docs: DataFrame, families: DataFrame, words: int, percent: int) -> DataFrame:
