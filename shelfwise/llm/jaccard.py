@@ -31,7 +31,7 @@ BUCKET_KEYS = 100_000  # keys that meet in one group of the candidate search
 CELL_MEMBERS = 4_000  # points of a cell that one task searches against each other, times two
 CELL_ROWS = 50_000  # points of several cells that one task works through
 HEADS = 6  # members of an unsettled family that all others are verified against
-BLOCK_SHINGLES = 4_000_000  # shingles of a family that one task holds on either side
+BLOCK_SHINGLES = 1_500_000  # shingles of a family that one task holds on either side
 LEAF, FANOUT = 16, 8
 BROADCAST_IDS = 1_000_000
 COMMON_BITS = 20
@@ -275,7 +275,7 @@ def _searching(percent: int):
         vectors = points([point(s).tobytes() for s in sets])
         tree = CountTree(vectors[others], sizes)
         # Shingle -> those who have it, to verify a stray against all that its search returns at once.
-        shingle, owner = np.concatenate([sets[i] for i in others]), np.repeat(np.arange(len(others)), sizes)
+        shingle, owner = np.concatenate([sets[i] for i in others]), np.repeat(np.arange(len(others), dtype=np.int32), sizes)
         order = np.argsort(shingle, kind="stable")
         shingle, owner = shingle[order], owner[order]
         for i in (i for i in range(len(doc)) if stray[i]):
