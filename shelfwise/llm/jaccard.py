@@ -339,18 +339,22 @@ def _links(docs: DataFrame, families: DataFrame, words: int, percent: int) -> Da
     sizes = members.groupBy("family", "part").agg(F.count("*").alias("n"))
     main = sizes.groupBy("family").agg(F.max_by("part", F.struct("n", "part")).alias("main"))
     members = cut(members.join(main, "family"))
-    stray_n = F.sum(F.when(F.col("part") != F.col("main"), F.col("n")).otherwise(0))
+    # Sizes in classes that grow by the ratio of partners' sizes or a little more: partners are in the same or the next class.
+    size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.1 / percent))).cast("int")
+    near = F.explode(F.array(*[F.col("size") + i for i in (-1, 0, 1)]))
+    sized = members.withColumn("size", size)
     blocks = lambda total: F.ceil(total / BLOCK_SHINGLES).cast("int")
-    open_families = cut(members.groupBy("family").agg(blocks(stray_n).alias("stray_blocks"), blocks(F.sum("n")).alias("blocks")).where("stray_blocks > 0"))
+    strays_in = sized.where("part <> main").withColumn("size", near).groupBy("family", "size").agg(blocks(F.sum("n")).alias("stray_blocks"))
+    open_families = cut(sized.groupBy("family", "size").agg(blocks(F.sum("n")).alias("blocks")).join(strays_in, ["family", "size"]))
     if not open_families.limit(1).count():
         return links
-    wanted = sets.join(members.select("doc_id", "part", "main"), "doc_id").join(open_families, "family")
-    row = ["family", "doc_id", "part", "shingles"]
+    wanted = sets.join(sized.select("doc_id", "part", "main", "size"), "doc_id")
+    row = ["family", "size", "doc_id", "part", "shingles"]
     at = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    strays = wanted.where("part <> main").select(*row, F.lit(True).alias("stray"), at("stray_blocks").alias("i"), every("blocks").alias("j"))
-    others = wanted.select(*row, F.lit(False).alias("stray"), at("blocks").alias("j"), every("stray_blocks").alias("i"))
-    found = strays.unionByName(others).groupBy("family", "i", "j").applyInArrow(_searching(percent), "a long, b long")
+    strays = wanted.where("part <> main").withColumn("size", near).join(open_families, ["family", "size"]).select(*row, F.lit(True).alias("stray"), at("stray_blocks").alias("i"), every("blocks").alias("j"))
+    others = wanted.join(open_families, ["family", "size"]).select(*row, F.lit(False).alias("stray"), at("blocks").alias("j"), every("stray_blocks").alias("i"))
+    found = strays.unionByName(others).groupBy("family", "size", "i", "j").applyInArrow(_searching(percent), "a long, b long")
     return links.union(found)
 
 
