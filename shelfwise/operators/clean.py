@@ -180,7 +180,7 @@ def outliers_zscore(
     for c in (c for c in columns if c in df.columns):
         score, stats = _zscore(df if method == "remove" else base, c)
         if method == "remove":
-            df = df.where(score <= threshold)
+            df = cut(df.where(score <= threshold))  # the next column's statistics read these rows, not all steps before
         elif method == "clip":
             reach = stats["std"] * threshold
             changed[c] = _clipped(c, stats["mean"] - reach, stats["mean"] + reach)
@@ -199,7 +199,7 @@ def zscore_outlier_counts(
         tally = df.agg(F.lit(c).alias("column"), F.count_if(score > threshold).alias("outliers"))
         result = tally if result is None else result.unionByName(tally)
         if method == "remove":
-            df = df.where(score <= threshold)
+            df = cut(df.where(score <= threshold))
     if result is None:
         return df.sparkSession.createDataFrame([], "column string, outliers long")
     return result

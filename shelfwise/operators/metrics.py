@@ -217,8 +217,3 @@ def summary_text(results: DataFrame) -> DataFrame:
     return results.select(
         "model", F.row_number().over(window).alias("seq"), F.format_string("%s: %.4f", "metric", "value").alias("text")
     )
-
-
-def stacked_metrics(one_row: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(metric, value) from a one-row frame."""
-    return stacked(one_row, [(c, F.col(c).cast("double")) for c in names], ["metric", "value"])

@@ -44,7 +44,7 @@ def save_csv(df: DataFrame, path: str) -> None:
 
 def save_report(df: DataFrame, path: str) -> None:
     """Overwrites a folder of JSON lines; a path ending in .csv ends in .json instead."""
-    df.write.mode("overwrite").json(path.replace(".csv", ".json"))
+    df.write.mode("overwrite").json(path.removesuffix(".csv") + ".json" if path.endswith(".csv") else path)
 
 
 def insight_lines(insights: DataFrame) -> DataFrame:

@@ -282,3 +282,19 @@ def test_csv_json_and_text_files(spark, tmp_path):
     notes = frame(spark, [(1, "k", "first"), (2, "k", "second")], "seq int, kind string, text string")
     files.save_insights(report.add_insight(notes, "k", "third"), f"{tmp_path}/insights")
     assert [r["value"] for r in spark.read.text(f"{tmp_path}/insights").collect()] == ["1. first", "2. second", "3. third"]
+
+
+def test_zscore_removal_plan_grows_linearly(spark):
+    rows = [(float(i % 7), float(i % 5), float(i % 3)) for i in range(60)] + [(500.0, 1.0, 1.0), (1.0, 900.0, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    for columns, left in ((["a"], 61), (["a", "b"], 60), (["a", "b", "c"], 60)):
+        kept = clean.outliers_zscore(df, columns, method="remove")
+        assert kept.count() == left
+        assert kept._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
+def test_report_path_keeps_its_folders(spark, tmp_path):
+    from shelfwise.sources.files import save_report
+
+    save_report(spark.range(3), str(tmp_path / "a.csv.d" / "out.csv"))
+    assert spark.read.json(str(tmp_path / "a.csv.d" / "out.json")).count() == 3
