@@ -3,7 +3,8 @@
 Every task packs the pieces of its own rows as they come, a short window of them at a time by falling
 length. The free space of its open bins is a bit set, so the tightest bin for a piece is the lowest
 set bit at or above the length. When a new bin is needed and all are open, the fullest closes. Bins still open when a task ends are given up and
-their pieces, few per task, are packed again by rounds of wider groups until one group is left.
+their pieces, few per task, are packed again by rounds of wider groups until one group is left; each
+group passes on as many open bins as a task at most, so no group grows with the input.
 """
 
 from __future__ import annotations
@@ -64,9 +65,14 @@ class OpenBins:
         return self._take((self.free & -self.free).bit_length() - 1)
 
 
-def _packed(rows: Iterator[tuple], size: int, bins: int, part: int, last: bool) -> Iterator[tuple]:
-    """Rows of PACKED for rows of PIECES; full pieces and closed bins at once, open bins at the end."""
+def _packed(rows: Iterator[tuple], size: int, bins: int, part: int, last: bool, keep: int | None = None) -> Iterator[tuple]:
+    """Rows of PACKED for rows of PIECES; full pieces and closed bins at once, open bins at the end.
+
+    Of the bins left at the end the fullest close until ``keep`` (default: ``bins``) are open, all of
+    them with ``last``.
+    """
     packer, number = OpenBins(size, bins), part << 32
+    keep = bins if keep is None else keep
 
     def closed(group: list, done: bool) -> Iterator[tuple]:
         nonlocal number
@@ -82,7 +88,7 @@ def _packed(rows: Iterator[tuple], size: int, bins: int, part: int, last: bool)
             yield from closed(group, True)
     while packer.open:
         group = packer.close_fullest()
-        yield from closed(group, last or sum(r[3] for r in group) == size)
+        yield from closed(group, last or packer.open >= keep or sum(r[3] for r in group) == size)
 
 
 def _windows(rows: Iterator[tuple]) -> Iterator[tuple]:
@@ -107,13 +113,16 @@ def _batches(rows: Iterator[tuple], size: int = 20_000) -> Iterator[pa.RecordBat
         yield batch()
 
 
-def _packing_again(size: int, base: int, last: bool):
-    """A function that packs the pieces of one group without a bound on open bins."""
+def _packing_again(size: int, bins: int, base: int, last: bool):
+    """A function that packs the pieces of one group and leaves at most ``bins`` bins open.
+
+    While it packs it needs no bound of its own: a group is the open bins of GROUP tasks.
+    """
     def again(group):
         rows = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("start", "ascending")])
         part = base + group.column("group")[0].as_py()
         rows = zip(*(rows.column(c).to_pylist() for c in _NAMES[:5]))
-        return pa.Table.from_batches(list(_batches(_packed(rows, size, 1 << 30, part, last))))
+        return pa.Table.from_batches(list(_batches(_packed(rows, size, 1 << 30, part, last, bins))))
 
     return again
 
@@ -152,6 +161,6 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end: int = 0, bins: int =
         groups, before, base = (state["last"] - base) // GROUP + 1, base, state["last"] + 1
 
         grouped = open_rows.withColumn("group", F.floor((F.col("part") - before) / GROUP).cast("long"))
-        done = cut(grouped.groupBy("group").applyInArrow(_packing_again(size, base, groups == 1), PACKED))
+        done = cut(grouped.groupBy("group").applyInArrow(_packing_again(size, bins, base, groups == 1), PACKED))
         result, open_rows = result.unionByName(done.where("closed")), done.where("not closed")
     return result.drop("closed", "part")

@@ -77,6 +77,28 @@ def test_packing(spark):
     assert packing.pack(empty(spark), WORDS).count() == 0
 
 
+def test_groups_pass_on_a_fixed_number_of_open_bins():
+    pieces = [(i, 0, 0, 40 + i % 9, 0) for i in range(60)]  # no two fit into one bin
+    rows = list(packing._packed(iter(pieces), 64, 1 << 30, 3, False, keep=5))
+    left = [r for r in rows if not r[7]]
+    assert sorted(r[0] for r in rows) == list(range(60)) and len({r[5] for r in left}) == 5
+    assert max(r[3] for r in left) <= min(r[3] for r in rows if r[7])  # the fullest closed
+    assert all(r[7] for r in packing._packed(iter(pieces), 64, 1 << 30, 3, True, keep=5))
+
+
+def test_packing_over_several_rounds(spark):
+    docs = documents(spark, [f"some words of text number {i} " * (1 + i % 4) for i in range(200)]).repartition(70)
+    rows = packing.pack(docs, WORDS, size=64, bins=1).collect()
+    assert len(rows) >= 200 and {r["doc_id"] for r in rows} == {r["doc_id"] for r in docs.collect()}
+    used = {}
+    for r in rows:
+        used.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in used.values():
+        places.sort()
+        assert [p for p, _ in places] == [sum(n for _, n in places[:i]) for i in range(len(places))]
+        assert sum(n for _, n in places) <= 64
+
+
 def test_huffman_lengths_are_best_and_limited():
     counts = np.array([0, 1, 1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 0, 144])
     lengths = huffman.code_lengths(counts, 16)
