@@ -11,6 +11,14 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+def whole_columns(df: DataFrame) -> list[str]:
+    """Columns of whole numbers that a long holds exactly."""
+    def exact(kind: T.DataType) -> bool:
+        return isinstance(kind, T.IntegralType) or (isinstance(kind, T.DecimalType) and kind.scale == 0 and kind.precision <= 18)
+
+    return [f.name for f in df.schema.fields if exact(f.dataType)]
+
+
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
@@ -29,21 +37,26 @@ def stacked(one_row: DataFrame, rows: Sequence[Sequence], names: Sequence[str])
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, num, txt, n): how often each value of each column occurs, nulls included.
+    """(column, whole, num, txt, n): how often each value of each column occurs, nulls included.
 
-    Numbers are held in ``num``; text, and times as ISO text, in ``txt``. Counts are combined
-    on the map side, so a value holding most rows costs one record per task.
+    Whole numbers are held in ``whole``, other numbers in ``num``; text, and times as ISO text, in
+    ``txt``. Counts are combined on the map side, so a value holding most rows costs one record per task.
     """
-    numbers = set(numeric_columns(df))
+    numbers, whole = set(numeric_columns(df)), set(whole_columns(df))
+
+    def cell(name: str, kind: str, held: bool) -> Column:
+        return F.col(name).cast(kind) if held else F.lit(None).cast(kind)
+
     cells = [
         F.struct(
             F.lit(c).alias("column"),
-            (F.col(c).cast("double") if c in numbers else F.lit(None).cast("double")).alias("num"),
-            (F.lit(None).cast("string") if c in numbers else F.col(c).cast("string")).alias("txt"),
+            cell(c, "long", c in whole).alias("whole"),
+            cell(c, "double", c in numbers - whole).alias("num"),
+            cell(c, "string", c not in numbers).alias("txt"),
         )
         for c in columns
     ]
-    return df.select(F.inline(F.array(*cells))).groupBy("column", "num", "txt").agg(F.count("*").alias("n"))
+    return df.select(F.inline(F.array(*cells))).groupBy("column", "whole", "num", "txt").agg(F.count("*").alias("n"))
 
 
 def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -77,8 +77,10 @@ class Fitted:
         self.pipeline.write().overwrite().save(path)
 
     @staticmethod
-    def load(path: str, features: Sequence[str], name: str = "loaded") -> Fitted:
-        return Fitted(name, list(features), PipelineModel.load(path))
+    def load(path: str, name: str = "loaded") -> Fitted:
+        """Reads a saved pipeline; the feature names are those of its assembler."""
+        pipeline = PipelineModel.load(path)
+        return Fitted(name, list(pipeline.stages[1].getInputCols()), pipeline)
 
 
 def train(

@@ -82,7 +82,8 @@ def holt_winters(
     """Damped additive trend with additive or multiplicative season, per series.
 
     Every (alpha, beta, gamma, phi) of the grid is run and the one with the least squared
-    one-step error is kept. A series needs two full seasons; shorter ones get no forecast.
+    one-step error is kept. A series needs two full seasons; the test rows of shorter ones have a null
+    ``yhat``, which ``timeseries.with_errors`` reports.
     """
     m = seasonal_periods
     names = ("alpha", "beta", "gamma", "phi")
@@ -96,7 +97,7 @@ def holt_winters(
     damping = F.when(phi == 1, h.cast("double")).otherwise(phi * (1 - F.pow(phi, h)) / (1 - phi))
     base = F.col("level") + damping * F.col("trend")
     season = F.element_at("seasons", F.pmod(h - 1, F.lit(m)).cast("int") + 1)
-    return _numbered_test(parts).join(best, "series").select(
+    return _numbered_test(parts).join(best, "series", "left").select(
         "series", "period", F.lit("HoltWinters").alias("model"), "y",
         (base + season if seasonal == "add" else base * season).alias("yhat"),
     )
@@ -110,20 +111,20 @@ def _lagged(values: np.ndarray, lags: int, start: int) -> np.ndarray:
     return np.column_stack([values[start - k : len(values) - k] for k in range(1, lags + 1)]) if lags else np.empty((len(values) - start, 0))
 
 
-def arma_forecast(ys: np.ndarray, order: tuple[int, int, int], steps: int) -> np.ndarray:
+def arma_forecast(ys: np.ndarray, order: tuple[int, int, int], steps: int) -> np.ndarray | None:
     """Hannan-Rissanen fit of ARIMA(p, d, q) and its recursive forecast.
 
-    A long autoregression gives the shocks, a regression on lags and lagged shocks the
-    coefficients. Series too short for it repeat their last value.
+    A long autoregression, of max(p, q) + 4 lags, gives the shocks, a regression on lags and lagged
+    shocks the coefficients. None for series with fewer values than either has coefficients.
     """
     p, d, q = order
+    long = max(p, q) + 4
+    if len(ys) - d - long <= max(long, max(p, q) + p + q):
+        return None
     tails, w = [], np.asarray(ys, dtype=float)
     for _ in range(d):
         tails.append(w[-1])
         w = np.diff(w)
-    long = min(max(p, q) + 4, len(w) // 3)
-    if len(w) < 8 or long < max(p, q, 1):
-        return np.full(steps, ys[-1])
     shocks = np.zeros(len(w))
     mean = w.mean() if d == 0 else 0.0
     z = w - mean
@@ -143,13 +144,17 @@ def arma_forecast(ys: np.ndarray, order: tuple[int, int, int], steps: int) -> np
 
 
 def arima(parts: DataFrame, order: tuple[int, int, int] = (1, 1, 1)) -> DataFrame:
-    """ARIMA(p, d, q) per series, estimated by regression; one task handles one series at a time."""
+    """ARIMA(p, d, q) per series, estimated by regression; one task handles one series at a time.
+
+    A series too short for the fit has a null ``yhat``, which ``timeseries.with_errors`` reports.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("period")
         test = pdf[pdf["part"] == "test"]
         train = pdf.loc[pdf["part"] == "train", "value"].to_numpy()
-        yhat = arma_forecast(train, order, len(test)) if len(train) else np.full(len(test), np.nan)
+        fitted = arma_forecast(train, order, len(test))
+        yhat = np.full(len(test), np.nan) if fitted is None else fitted
         return pd.DataFrame({
             "series": test["series"], "period": test["period"], "model": "ARIMA", "y": test["value"], "yhat": yhat})
 

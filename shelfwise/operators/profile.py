@@ -51,16 +51,16 @@ def head(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
 def column_info(df: DataFrame, samples: int = 3) -> DataFrame:
     """(column, dtype, non_null, nulls, distinct_values, sample_values): samples are the smallest values."""
     counts = value_counts(df, df.columns)
-    present = F.col("num").isNotNull() | F.col("txt").isNotNull()
+    present = F.col("whole").isNotNull() | F.col("num").isNotNull() | F.col("txt").isNotNull()
     summary = counts.groupBy("column").agg(
         F.coalesce(F.sum(F.when(present, F.col("n"))), F.lit(0)).alias("non_null"),
         F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("nulls"),
         F.count_if(present).alias("distinct_values"),
     )
-    shown = F.when(F.col("num").isNotNull(), F.format_string("%.2f", "num")).otherwise(F.col("txt"))
+    shown = F.when(F.col("num").isNotNull(), F.format_string("%.2f", "num")).otherwise(F.coalesce(F.col("whole").cast("string"), "txt"))
     # Nulls are ranked last rather than filtered before, so that both uses share one count.
     smallest = (
-        top_per_group(counts, ["column"], [F.desc(present), F.col("num"), F.col("txt")], samples)
+        top_per_group(counts, ["column"], [F.desc(present), F.col("whole"), F.col("num"), F.col("txt")], samples)
         .where(present)
         .groupBy("column")
         .agg(F.array_sort(F.collect_list(F.struct("rank", shown.alias("text")))).alias("texts"))

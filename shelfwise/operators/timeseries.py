@@ -125,6 +125,12 @@ def compare_forecasts(forecasts: DataFrame) -> DataFrame:
     )
 
 
+def with_errors(comparison: DataFrame) -> DataFrame:
+    """Adds ``error``: a sentence for each model that could not be fitted to a series, else null."""
+    said = F.format_string("%s could not be fitted to so few periods", "model")
+    return comparison.withColumn("error", F.when(F.col("mae").isNull(), said))
+
+
 def residual_stats(forecasts: DataFrame) -> DataFrame:
     """(series, model, mean, std, min, max) of y - yhat, with the population deviation."""
     r = F.col("y") - F.col("yhat")

@@ -141,7 +141,7 @@ def clu_hac_ward(spark, sf_dir):
 
 @query("clu_find_k")
 def clu_find_k(spark, sf_dir):
-    return cluster.find_k(customers(spark, sf_dir), "customer_id", X, range(2, 8), method="squared", n_init=3)
+    return cluster.find_k(customers(spark, sf_dir), "customer_id", X, range(2, 8), method="squared")
 
 
 @query("clu_pca")

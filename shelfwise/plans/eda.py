@@ -58,6 +58,8 @@ def _info_sql(column):
         shown = f"strftime({column}, '%Y-%m-%d %H:%M:%S')"
     elif text:
         shown = column
+    elif kind in ("bigint", "int"):
+        shown = f"CAST({column} AS VARCHAR)"
     else:
         shown = f"printf('%.2f', CAST({column} AS DOUBLE))"
     return f"""SELECT '{column}' AS "column", '{kind}' AS dtype, count({column}) AS non_null,

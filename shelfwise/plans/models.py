@@ -1,6 +1,8 @@
 """Classification queries: the RFM segment predicted from recency, frequency, money and profit."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions.storage import cut, scratch_path
 from shelfwise.operators import classify
@@ -25,6 +27,13 @@ def _scored(rows, fitted):
     return classify.evaluate(cut(predictions), fitted.name)
 
 
+def _validated(rows):
+    """Mean and deviation of the folds' F1 of every model, over the training rows."""
+    known = rows.where("part = 'train'")
+    folds = [classify.cross_validate(known, "customer_id", FEATURES, "segment", name) for name in classify.MODELS]
+    return classify.cv_summary(reduce(DataFrame.unionByName, folds))
+
+
 @query("mdl_stratified_split", f"""WITH {RFM}
 SELECT customer_id, segment, CASE WHEN row_number() OVER (PARTITION BY segment ORDER BY md5('42' || customer_id), customer_id)
   <= floor(count(*) OVER (PARTITION BY segment) * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS part FROM rfm""")
@@ -59,28 +68,21 @@ def mdl_forest(spark, sf_dir):
 
 @query("mdl_cv")
 def mdl_cv(spark, sf_dir):
-    rows = split_customers(spark, sf_dir).where("part = 'train'")
-    return classify.cv_summary(classify.cross_validate(rows, "customer_id", FEATURES, "segment", "DecisionTree"))
+    return _validated(split_customers(spark, sf_dir))
 
 
 @query("mdl_importance")
 def mdl_importance(spark, sf_dir):
     rows = split_customers(spark, sf_dir)
-    tables = [
-        classify.feature_importance(_train(rows, name), spark, 15).withColumn("model", F.lit(name))
-        for name in ("LogisticRegression", "DecisionTree")
-    ]
-    return tables[0].unionByName(tables[1])
+    return reduce(DataFrame.unionByName, [
+        classify.feature_importance(_train(rows, name), spark, 15).withColumn("model", F.lit(name)) for name in classify.MODELS])
 
 
 @query("mdl_compare")
 def mdl_compare(spark, sf_dir):
     rows = split_customers(spark, sf_dir)
-    results = None
-    for name in classify.MODELS:
-        scored = _scored(rows, _train(rows, name))
-        results = scored if results is None else results.unionByName(scored)
-    return classify.compare_models(results)
+    scored = [_scored(rows, _train(rows, name)) for name in classify.MODELS]
+    return classify.compare_models(reduce(DataFrame.unionByName, scored, _validated(rows)))
 
 
 @query("mdl_save_load")
@@ -88,5 +90,5 @@ def mdl_save_load(spark, sf_dir):
     rows = split_customers(spark, sf_dir)
     path = scratch_path(spark, "model")
     _train(rows, "DecisionTree").save(path)
-    loaded = classify.Fitted.load(path, FEATURES)
+    loaded = classify.Fitted.load(path)
     return loaded.predict(rows.where("part = 'test'"), "customer_id", "segment").select("key", "y_true", "y_pred")

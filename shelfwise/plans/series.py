@@ -213,4 +213,4 @@ def ts_compare_all(spark, sf_dir):
     every = _both(parts)
     for model in (forecast.arima(parts), forecast.holt_winters(parts), forecast.fourier(parts)):
         every = every.unionByName(model)
-    return forecast_metrics(every).orderBy("series", "mae", "model")
+    return timeseries.with_errors(forecast_metrics(every)).orderBy("series", F.asc_nulls_last("mae"), "model")

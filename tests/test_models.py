@@ -35,7 +35,9 @@ def test_models_beat_the_majority_and_survive_saving(spark, customers, tmp_path,
     best = classify.feature_importance(fitted, spark).first()
     assert best["feature"] == "a"
     fitted.save(f"{tmp_path}/model")
-    loaded = classify.Fitted.load(f"{tmp_path}/model", fitted.features).predict(test, "id", "kind")
+    restored = classify.Fitted.load(f"{tmp_path}/model")
+    assert restored.features == fitted.features
+    loaded = restored.predict(test, "id", "kind")
     assert sorted(map(tuple, loaded.select("key", "y_pred").collect())) == sorted(map(tuple, predictions.select("key", "y_pred").collect()))
 
 

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.functions.lookup import modes
 from shelfwise.functions.quantiles import bin_by_edges, exact_quantiles
 from shelfwise.operators import basket, clean, encode, features, forecast, metrics, profile, report, timeseries
 from shelfwise.sources import files
@@ -177,7 +178,20 @@ def test_models_follow_an_obvious_series(spark):
     year = [50 * np.sin(2 * np.pi * i / 365.25) + 0.1 * i for i in range(1000)]
     assert error(forecast.fourier(timeseries.split(_series(spark, year), 50))) < 1.0
     short = timeseries.split(_series(spark, values[:20]), 2)
-    assert forecast.holt_winters(short).count() == 0  # under two seasons
+    unfitted = forecast.holt_winters(short)  # under two seasons
+    assert [r["yhat"] for r in unfitted.collect()] == [None, None]
+    for n, fits in ((13, False), (14, True)):  # twelve training values are needed
+        table = forecast.arima(timeseries.split(_series(spark, values[:n]), 2), (1, 1, 1))
+        assert [r["yhat"] is not None for r in table.collect()] == [fits, fits]
+    errors = timeseries.with_errors(metrics.forecast_metrics(timeseries.naive(short).unionByName(unfitted))).collect()
+    assert {r["model"]: r["error"] is not None for r in errors} == {"Naive": False, "HoltWinters": True}
+
+
+def test_large_whole_numbers_stay_apart(spark):
+    table = spark.createDataFrame([(2**53,), (2**53 + 1,), (2**53 + 1,)], "n long")
+    info = profile.column_info(table).first()
+    assert info["distinct_values"] == 2 and info["sample_values"] == "9007199254740992, 9007199254740993"
+    assert modes(table, ["n"]) == {"n": 2**53 + 1}
 
 
 def test_autocorrelation_against_definition(spark):
