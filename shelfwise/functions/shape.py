@@ -65,15 +65,19 @@ def top_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column], k:
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
-# More values than this cannot sensibly become columns of one table.
+# More values than this cannot sensibly become columns of one table; the long forms have no such bound.
 MAX_COLUMNS = 5000
 
 
 def column_values(df: DataFrame, column: str) -> list:
-    """Distinct non-null values in order, read by the driver because they become the schema."""
+    """Distinct non-null values in order, read by the driver because they become the schema.
+
+    For columns with more values use the long forms ``encode.onehot_flags``, ``basket.transaction_items``
+    and ``metrics.confusion_counts``.
+    """
     values = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(MAX_COLUMNS + 1).collect()
     if len(values) > MAX_COLUMNS:
-        raise ValueError(f"{column} has more than {MAX_COLUMNS} values, too many to become columns")
+        raise ValueError(f"{column} has more than {MAX_COLUMNS} values, too many to become columns; use the long form")
     return [r[0] for r in values]
 
 

@@ -93,26 +93,20 @@ def linkage_labels(centres: np.ndarray, sizes: np.ndarray, k: int, linkage: str)
 
 def fit_hac(
     df: DataFrame, key: str, features: Sequence[str], k: int = 5, linkage: str = "ward", *,
-    micro: int = MICRO_CLUSTERS, seed: int = 42,
+    micro: int = MICRO_CLUSTERS, n_init: int = 10, max_iter: int = 300, seed: int = 42,
 ) -> DataFrame:
-    """``df`` with ``cluster`` from agglomerative clustering.
+    """``df`` with ``cluster`` from agglomerative clustering of micro-clusters.
 
-    Up to ``micro`` distinct points are merged exactly. More points are first grouped by k-means
-    into ``micro`` micro-clusters, whose centres and sizes are then merged; only those centres
-    reach the driver.
+    At every size the points are first grouped by k-means into at most ``micro`` micro-clusters, whose
+    centres and sizes are then merged; only those centres reach the driver. ``micro`` is a parameter
+    of the method: it bounds how finely the merging sees the points.
     """
     if linkage not in LINKAGES:
         raise ValueError(f"linkage must be one of {LINKAGES}")
     features = list(features)
-    spots = df.groupBy(*features).agg(F.count("*").alias("_size"))
-    if spots.limit(micro + 1).count() <= micro:
-        groups, on = spots, features
-        placed = df
-    else:
-        grouped, _ = fit_kmeans(df, features, micro, n_init=1, max_iter=50, seed=seed)
-        placed = cut(grouped.withColumnRenamed("cluster", "_micro"))
-        groups = placed.groupBy("_micro").agg(*[F.avg(f).alias(f) for f in features], F.count("*").alias("_size"))
-        on = ["_micro"]
+    grouped, _ = fit_kmeans(df, features, micro, n_init=n_init, max_iter=max_iter, seed=seed)
+    placed, on = cut(grouped.withColumnRenamed("cluster", "_micro")), ["_micro"]
+    groups = placed.groupBy("_micro").agg(*[F.avg(f).alias(f) for f in features], F.count("*").alias("_size"))
     rows = groups.orderBy(*features).toPandas()  # at most ``micro`` rows
     k = min(k, len(rows))
     found = linkage_labels(rows[features].to_numpy(dtype=float), rows["_size"].to_numpy(), k, linkage)
@@ -245,9 +239,12 @@ def silhouette_exact(clustered: DataFrame, key: str, features: Sequence[str], bl
 
 
 def silhouette(
-    clustered: DataFrame, key: str, features: Sequence[str], method: str = "euclidean", exclude_noise: bool = False
+    clustered: DataFrame, key: str, features: Sequence[str], method: str = "squared", exclude_noise: bool = False
 ) -> DataFrame:
-    """(silhouette), 0 below two clusters; noise (cluster -1) counts as a cluster unless excluded."""
+    """(silhouette), 0 below two clusters; noise (cluster -1) counts as a cluster unless excluded.
+
+    ``method="euclidean"`` measures every pair of points, so its work is quadratic.
+    """
     if exclude_noise:
         clustered = clustered.where("cluster <> -1")
     if method == "euclidean":
@@ -259,7 +256,7 @@ def silhouette(
     return score.select(F.coalesce("silhouette", F.lit(0.0)).alias("silhouette"))
 
 
-def evaluate(clustered: DataFrame, key: str, features: Sequence[str], method: str = "euclidean") -> DataFrame:
+def evaluate(clustered: DataFrame, key: str, features: Sequence[str], method: str = "squared") -> DataFrame:
     """(metric, value): cluster count, silhouette, Davies-Bouldin, Calinski-Harabasz and size of each cluster.
 
     Below two clusters there is a single 'error' line without a value.
@@ -283,7 +280,7 @@ def evaluate(clustered: DataFrame, key: str, features: Sequence[str], method: st
 
 def find_k(
     df: DataFrame, key: str, features: Sequence[str], k_range: Sequence[int] = range(2, 11), *,
-    clustering: str = "kmeans", method: str = "euclidean", n_init: int = 10, seed: int = 42,
+    clustering: str = "kmeans", method: str = "squared", n_init: int = 10, seed: int = 42,
 ) -> DataFrame:
     """(k, inertia, silhouette, davies_bouldin, calinski_harabasz, best): best marks the first highest silhouette."""
     df = cut(df.select(key, *features))
@@ -292,7 +289,7 @@ def find_k(
         if clustering == "kmeans":
             clustered, inertia = fit_kmeans(df, features, k, n_init=n_init, seed=seed)
         elif clustering == "hac":
-            clustered, inertia = fit_hac(df, key, features, k, seed=seed), 0.0
+            clustered, inertia = fit_hac(df, key, features, k, n_init=n_init, seed=seed), 0.0
         else:
             raise ValueError("clustering must be 'kmeans' or 'hac'")
         clustered = cut(clustered)  # read by three measures

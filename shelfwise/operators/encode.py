@@ -37,14 +37,32 @@ def encode_label(df: DataFrame, columns: Sequence[str], order: Sequence[str]) ->
     return df
 
 
-def encode_onehot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Adds boolean ``<column>_<value>`` for every value but the first in sort order; null rows are all false."""
+def encode_onehot(df: DataFrame, columns: Sequence[str], values: dict[str, Sequence] | None = None) -> DataFrame:
+    """Adds boolean ``<column>_<value>`` for every value but the first in sort order; null rows are all false.
+
+    ``values`` names the values of a column in advance, which saves the pass that looks for them; for
+    columns with very many values use ``onehot_flags``.
+    """
     for c in (c for c in columns if c in df.columns):
-        flags = {f"{c}_{v}": F.coalesce(F.col(c) == F.lit(v), F.lit(False)) for v in column_values(df, c)[1:]}
+        known = list(values[c]) if values and c in values else column_values(df, c)
+        flags = {f"{c}_{v}": F.coalesce(F.col(c) == F.lit(v), F.lit(False)) for v in known[1:]}
         df = df.withColumns(flags) if flags else df
     return df
 
 
+def onehot_flags(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The one-hot columns in long form, for any number of values: (*key, column, value) where the flag is true.
+
+    As in the wide form the first value in sort order of a column has no flag, and null rows have none.
+    """
+    present = [c for c in columns if c in df.columns]
+    if not present:
+        raise ValueError("no such column")
+    first = df.agg(F.struct(*[F.min(c).alias(c) for c in present]).alias("first")).scalar()
+    cells = [F.struct(F.lit(c).alias("column"), F.when(F.col(c) > first[c], F.col(c).cast("string")).alias("value")) for c in present]
+    return df.select(*key, F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+
+
 def encode_categorical(df: DataFrame, columns: Sequence[str], method: str = "label", order: Sequence[str] = ()) -> DataFrame:
     if method == "label":
         return encode_label(df, columns, order)

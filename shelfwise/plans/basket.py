@@ -17,15 +17,19 @@ basket AS (SELECT order_id, list_sort(list(item)) AS items, count(*) AS item_cou
 
 _ITEMSETS = _BASKETS + f""", inb AS (SELECT order_id, unnest(items) AS item FROM basket),
 total AS (SELECT count(*) AS n FROM basket),
-found AS (
-  SELECT [item] AS items, count(*) AS freq FROM inb GROUP BY item
-  UNION ALL SELECT [a.item, b.item], count(*) FROM inb a JOIN inb b ON a.order_id = b.order_id AND a.item < b.item GROUP BY a.item, b.item
-  UNION ALL SELECT [a.item, b.item, c.item], count(*) FROM inb a JOIN inb b ON a.order_id = b.order_id AND a.item < b.item
-    JOIN inb c ON c.order_id = b.order_id AND b.item < c.item GROUP BY a.item, b.item, c.item
-  UNION ALL SELECT [a.item, b.item, c.item, d.item], count(*) FROM inb a JOIN inb b ON a.order_id = b.order_id AND a.item < b.item
-    JOIN inb c ON c.order_id = b.order_id AND b.item < c.item JOIN inb d ON d.order_id = c.order_id AND c.item < d.item
-    GROUP BY a.item, b.item, c.item, d.item),
-itemsets AS (SELECT items, freq, freq / n AS support FROM found, total WHERE freq / n >= {SUPPORT})"""
+f1 AS MATERIALIZED (SELECT item AS i, count(*) AS freq FROM inb GROUP BY item HAVING count(*) / (SELECT n FROM total) >= {SUPPORT}),
+l1 AS MATERIALIZED (SELECT order_id, item AS i FROM inb SEMI JOIN f1 ON f1.i = inb.item),
+p2 AS MATERIALIZED (SELECT a.order_id, a.i AS i, b.i AS j FROM l1 a JOIN l1 b ON a.order_id = b.order_id AND a.i < b.i),
+f2 AS MATERIALIZED (SELECT i, j, count(*) AS freq FROM p2 GROUP BY ALL HAVING count(*) / (SELECT n FROM total) >= {SUPPORT}),
+l2 AS MATERIALIZED (SELECT p2.* FROM p2 SEMI JOIN f2 ON f2.i = p2.i AND f2.j = p2.j),
+p3 AS MATERIALIZED (SELECT a.order_id, a.i AS i, a.j AS j, b.i AS k FROM l2 a JOIN l1 b ON a.order_id = b.order_id AND a.j < b.i),
+f3 AS MATERIALIZED (SELECT i, j, k, count(*) AS freq FROM p3 GROUP BY ALL HAVING count(*) / (SELECT n FROM total) >= {SUPPORT}),
+l3 AS MATERIALIZED (SELECT p3.* FROM p3 SEMI JOIN f3 ON f3.i = p3.i AND f3.j = p3.j AND f3.k = p3.k),
+f4 AS MATERIALIZED (SELECT a.i, a.j, a.k, b.i AS l, count(*) AS freq FROM l3 a JOIN l1 b ON a.order_id = b.order_id AND a.k < b.i
+  GROUP BY ALL HAVING count(*) / (SELECT n FROM total) >= {SUPPORT}),
+found AS (SELECT [i] AS items, freq FROM f1 UNION ALL SELECT [i, j], freq FROM f2
+  UNION ALL SELECT [i, j, k], freq FROM f3 UNION ALL SELECT [i, j, k, l], freq FROM f4),
+itemsets AS MATERIALIZED (SELECT items, freq, freq / n AS support FROM found, total)"""
 
 _RULES = _ITEMSETS + f""", splits AS (
   SELECT items, support, unnest(range(1, CAST(pow(2, len(items)) AS BIGINT) - 1)) AS mask FROM itemsets WHERE len(items) >= 2),

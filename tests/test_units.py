@@ -108,6 +108,19 @@ def test_encoders(spark):
         encode.encode_categorical(df, ["s"], "ordinal")
 
 
+def test_long_forms_agree_with_the_wide_ones(spark):
+    df = frame(spark, [(1, "b", 5), (2, "a", 6), (3, None, 5), (4, "c", 7)], "id int, s string, n int")
+    wide = encode.encode_onehot(df, ["s", "n"]).collect()
+    flags = {(r["id"], c, v) for r in wide for c, v in (("s", "b"), ("s", "c"), ("n", "6"), ("n", "7")) if r[f"{c}_{v}"]}
+    assert {tuple(r) for r in encode.onehot_flags(df, ["id"], ["s", "n"]).collect()} == flags
+    assert encode.encode_onehot(df, ["s"], {"s": ["a", "b", "c"]}).columns == ["id", "s", "n", "s_b", "s_c"]
+    many = frame(spark, [(i, f"v{i:05d}") for i in range(5001)], "id int, s string")
+    assert encode.onehot_flags(many, ["id"], ["s"]).count() == 5000
+    baskets = frame(spark, [(1, ["a", "b"]), (2, ["b"])], "order_id int, items array<string>")
+    cells = {(r["order_id"], i) for r in basket.transaction_matrix(baskets).collect() for i in ("a", "b") if r[i]}
+    assert {tuple(r) for r in basket.transaction_items(baskets).collect()} == cells
+
+
 def test_dates_from_text(spark):
     df = frame(spark, [("2024-03-02",), ("no date",)], "d string")
     good, bad = encode.process_dates(df, ["d"]).orderBy(F.col("d").asc_nulls_last()).collect()
