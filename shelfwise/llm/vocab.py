@@ -3,7 +3,7 @@
 The library splits a text into pieces before it merges, so ids of a text are the ids of its chunks as
 long as no piece crosses a chunk's border. Chunks begin at a single space or line break between two
 characters that are not white space, a border that no piece crosses; and trailing punctuation after
-an ASCII letter is a piece of its own. Texts with other white space are cut only where that is safe.
+an ASCII letter, or a word of Latin letters, is a piece of its own. Texts with other white space are cut only where that is safe.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ import os
 import re
 from array import array
 from collections.abc import Callable
-from functools import cache
+from functools import cache, reduce
 from itertools import islice
+from operator import add
 
 from tokenizers import Tokenizer
 
@@ -83,16 +84,24 @@ class ChunkCache:
     def _learn(self, new: set[bytes]) -> None:
         known, cores, parts = self.known, set(), {}
         for chunk in new:
-            core = chunk.rstrip(_TAIL)
-            if core != chunk and core and core[-1] in _LETTERS:
-                parts[chunk] = (core, (b"" if self.folded else b"\xff") + chunk[len(core) :])
-                cores.update(parts[chunk])
+            head, body = b"", chunk
+            if chunk[:1] == b"\n" and len(chunk) > 1:  # a line break before other than white space is a piece of its own
+                head, body = b"\xff\n", b"\xff" + chunk[1:]
+            core = body.rstrip(_TAIL)
+            if core != body and core and (core[-1] in _LETTERS or core[-1] > 127 and plain_word(core if self.folded else literal(core))):
+                keys = [core, (b"" if self.folded else b"\xff") + body[len(core) :]]
             else:
-                cores.add(chunk)
+                keys = [body]
+            if head:
+                keys.insert(0, head)
+            if len(keys) > 1:
+                parts[chunk] = keys
+            cores.update(keys)
         ask = [c for c in cores if c not in known]
-        known.update(zip(ask, self.encode(ask if self.folded else list(map(literal, ask)))))
-        for chunk, (core, tail) in parts.items():
-            known[chunk] = known[core] + known[tail]
+        # Most are words of ASCII letters, which a space goes before.
+        known.update(zip(ask, self.encode(ask if self.folded else [b" " + c if c.isalpha() else literal(c) for c in ask])))
+        for chunk, keys in parts.items():
+            known[chunk] = reduce(add, map(known.get, keys))
 
 
 def _byte_alphabet() -> dict[int, int]:
@@ -103,12 +112,15 @@ def _byte_alphabet() -> dict[int, int]:
 
 
 _ALPHABET = _byte_alphabet()
+_SPACE = chr(_ALPHABET[ord(" ")])
 _WORD = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _LOWER_WORD = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 
 def plain_word(chunk: bytes, pattern: re.Pattern = _WORD) -> str | None:
     """A word of Latin letters in the byte alphabet, None for any other chunk."""
+    if pattern is _WORD and chunk[:1] == b" " and chunk[1:].isalpha():
+        return _SPACE + chunk[1:].decode()
     if chunk.isalpha() and (pattern is _WORD or chunk.islower()):
         return chunk.decode()
     return chunk.decode("latin-1").translate(_ALPHABET) if pattern.fullmatch(chunk.decode()) else None
