@@ -40,13 +40,13 @@ def _box_gap(low_a: Column, high_a: Column, low_b: Column, high_b: Column) -> Co
 def _around(df: DataFrame, cell: str, target: str, dimensions: int) -> DataFrame:
     """One row per neighbouring cell that can hold a point within eps, the cell itself included."""
     reach = ceil(sqrt(dimensions))
-    steps = [f"_step{i}" for i in range(dimensions)]
+    steps, between = [f"_step{i}" for i in range(dimensions)], F.lit(0.0)
     for step in steps:
-        df = df.withColumn(step, F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
-    between = sum((F.pow(F.greatest(F.abs(s) - 1, F.lit(0)), F.lit(2)) for s in steps[1:]),
-                  F.pow(F.greatest(F.abs(steps[0]) - 1, F.lit(0)), F.lit(2)))
+        # Filtered step by step, so that only beginnings of cells within reach are expanded further.
+        between = between + F.pow(F.greatest(F.abs(step) - 1, F.lit(0)), F.lit(2))
+        df = df.withColumn(step, F.explode(F.sequence(F.lit(-reach), F.lit(reach)))).where(between <= dimensions)
     shifted = F.array(*[F.col(cell)[i] + F.col(s) for i, s in enumerate(steps)])
-    return df.where(between <= dimensions).withColumn(target, shifted).drop(*steps)
+    return df.withColumn(target, shifted).drop(*steps)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -136,17 +136,17 @@ def fit_dbscan(
         .withColumn("cell", F.transform("u", lambda v: F.floor(v)))
     )
     spots = cut(spots)
-    cells = spots.groupBy("cell").agg(
+    cells = cut(spots.groupBy("cell").agg(
         (F.sum("n") >= min_samples).alias("dense"), F.ceil(F.count("*") / split).alias("parts")
-    )
+    ))
     spots = cut(left_lookup(spots, cells, "cell"))
 
-    # Neighbours of the spots in sparse cells. Crowded cells are spread over ``parts`` salts.
-    probes = _around(
-        spots.where("NOT dense").select(F.col("spot").alias("p"), F.col("x").alias("px"), F.col("cell").alias("p_cell")),
-        "p_cell", "cell", dimensions,
-    )
-    probes = probes.join(cells.select("cell", "parts"), "cell").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    # Neighbours of the spots in sparse cells: occupied cells around each such cell first, then its
+    # spots. Crowded cells are spread over ``parts`` salts.
+    around = _around(cells.where("NOT dense").select(F.col("cell").alias("p_cell")), "p_cell", "cell", dimensions)
+    around = around.join(cells.select("cell", "parts"), "cell")
+    sparse = spots.where("NOT dense").select(F.col("spot").alias("p"), F.col("x").alias("px"), F.col("cell").alias("p_cell"))
+    probes = sparse.join(around, "p_cell").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     near = cut(
         probes.drop("parts")
         .join(spots.withColumn("salt", F.pmod(F.xxhash64("spot"), F.col("parts"))), ["cell", "salt"])
