@@ -7,8 +7,11 @@ as passages of 2 * SEGMENT words, one beginning every SEGMENT words, so that a c
 within one passage whole. A passage is a query; the score of a segment is its BM25 score as a share
 of what the segment scores for itself. Segments are in blocks, and the largest share a term can add
 in a block is known: one array pass bounds all passages of a batch for all blocks, and WAND runs only
-for those that may reach the threshold in some block. What is retrieved is then verified on word
-pairs, for the question and for the answer.
+for those that may reach the threshold in some block. Segments serve retrieval only: the whole
+question and the whole answer of an item are then verified on word pairs, gathered over all passages
+of the document that were retrieved for the item, with the words around them that the rest of the item
+would take up. A side of fewer than FEW words is verified on its words too, near what is found of the
+other side.
 
 The items are indexed in shards of bounded size, each sent to all tasks once; corpus statistics of
 the items are those of all shards.
@@ -33,17 +36,23 @@ BLOCKS = 16
 SHARD_ITEMS = 5_000
 K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP = 0.5, 0.5
+FEW = 4  # sides of fewer words are verified on single words too
+NEAR = 8  # words that may stand between a side that short and the other side
 _SENTENCE_END = re.compile(r"[.!?]\s+|\n+")
+_WORD = re.compile("[0-9A-Za-z\x80-\U0010ffff]")
 
 
 def question_and_answer(text: str) -> tuple[str, str]:
-    """The text before its last sentence, and that sentence; of one sentence, the last third of its words."""
+    """The text before its last sentence with words, and the rest; of one sentence, the last third of its words."""
     text = text.strip()
-    ends = [m.end() for m in _SENTENCE_END.finditer(text)]
-    if ends and text[ends[-1] :].strip():
-        return text[: ends[-1]], text[ends[-1] :]
+    for end in reversed([m.end() for m in _SENTENCE_END.finditer(text)]):
+        if _WORD.search(text, end):
+            if _WORD.search(text, 0, end):
+                return text[:end], text[end:]
+            break
     words = text.split()
-    cut = len(words) - max(1, len(words) // 3)
+    worded = [i for i, w in enumerate(words) if _WORD.search(w)]
+    cut = worded[-max(1, len(worded) // 3)] if worded else len(words)
     return " ".join(words[:cut]), " ".join(words[cut:])
 
 
@@ -52,20 +61,64 @@ def _words_of(texts: list[str]) -> Words:
 
 
 def pairs_of(hashes: np.ndarray) -> np.ndarray:
-    """Distinct word pairs of a run of words, sorted."""
-    return distinct(combined([hashes[:-1], hashes[1:]])) if len(hashes) > 1 else np.empty(0, np.uint64)
+    """The word pairs of a run of words, in reading order."""
+    return combined([hashes[:-1], hashes[1:]]) if len(hashes) > 1 else np.empty(0, np.uint64)
 
 
-def share(part: np.ndarray, whole: np.ndarray) -> float:
-    """Share of the sorted values ``part`` that occur in the sorted values ``whole``; 1 for none."""
-    return float(np.isin(part, whole).mean()) if len(part) else 1.0
+def occurrences(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """How often each of the values occurs in ``among``."""
+    among = np.sort(among)
+    return np.searchsorted(among, values, side="right") - np.searchsorted(among, values, side="left")
+
+
+class Side:
+    """Question or answer of an item: the distinct word pairs, of a side of few words the words too, and how often the other side has each."""
+
+    def __init__(self, words: np.ndarray, other: np.ndarray):
+        self.size, self.few = len(words), len(words) < FEW
+        self.pairs = pairs_of(words)
+        self.own = distinct(np.concatenate([words, self.pairs]) if self.few else self.pairs)
+        self.elsewhere = occurrences(self.own, np.concatenate([other, pairs_of(other)]))
+
+    def share(self, present: np.ndarray) -> float:
+        """Share of what the side is made of that ``present`` holds beyond the other side's; 1 for a side without words."""
+        return float((occurrences(self.own, present) > self.elsewhere).mean()) if len(self.own) else 1.0
+
+
+class Item:
+    """An item's number of words and its two sides."""
+
+    def __init__(self, question: np.ndarray, answer: np.ndarray):
+        self.size, self.sides = len(question) + len(answer), (Side(question, answer), Side(answer, question))
+
+    def overlaps(self, words: np.ndarray, spans: list[tuple[int, int]]) -> tuple[float, float]:
+        """Shares of the question and of the answer in the spans of a row's words."""
+        merged: list[list[int]] = []
+        for a, b in sorted(spans):
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        at = np.concatenate([np.arange(a, b) for a, b in merged])
+        first = at[:-1][np.diff(at) == 1]
+        word, pair = words[at], combined([words[first], words[first + 1]])
+        shares = []
+        for side, other in (self.sides, self.sides[::-1]):
+            near, begins = np.ones(len(at), bool), np.ones(len(first), bool)
+            if side.few and len(other.pairs):
+                found = first[np.isin(pair, other.pairs)]
+                reach = NEAR + side.size
+                close = lambda x, found=found, reach=reach: np.searchsorted(found, x - reach - 1) < np.searchsorted(found, x + reach, side="right")
+                near, begins = close(at), close(first)
+            shares.append(side.share(np.concatenate([word[near], pair[begins]]) if side.few else pair))
+        return shares[0], shares[1]
 
 
 class Segments:
-    """The segments of some items: item, distinct terms with counts, lengths, word pairs of both parts."""
+    """The segments of some items: item, place in the item, distinct terms with counts, lengths; the items with both sides."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.item, self.terms, self.length, self.question, self.answer = [], [], [], [], []
+        self.item, self.begin, self.terms, self.length, self.place, self.items = [], [], [], [], [], []
         for item, text in items:
             parts = _words_of(list(question_and_answer(text or "")))
             border, h = int(parts.first[1]), parts.hash
@@ -75,10 +128,11 @@ class Segments:
                 if b - a < 2:
                     continue
                 self.item.append(item)
+                self.begin.append(a)
                 self.terms.append(np.unique(combined([h[a : b - 1], h[a + 1 : b]]), return_counts=True))
                 self.length.append(b - a)
-                self.question.append(pairs_of(h[a : max(a, min(b, border))]))
-                self.answer.append(pairs_of(h[max(a, min(b, border)) : b]))
+                self.place.append(len(self.items))
+            self.items.append(Item(h[:border], h[border:]))
 
 
 class Index:
@@ -87,6 +141,7 @@ class Index:
     def __init__(self, segments: Segments, document_counts: dict[int, int], n: int, mean_length: float):
         """``document_counts``, ``n`` and ``mean_length`` are those of the segments of all shards."""
         self.segments, count = segments, len(segments.item)
+        self.item_of = dict(zip(segments.place, segments.item))
         term = np.concatenate([t for t, _ in segments.terms])
         times = np.concatenate([c for _, c in segments.terms]).astype(float)
         segment = np.repeat(np.arange(count), [len(t) for t, _ in segments.terms])
@@ -148,7 +203,7 @@ class Index:
                     x[4] = bisect_left(x[0], pivot, x[4])
 
     def matches(self, words: Words, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
-        """(row, item, score, question overlap, answer overlap), the best passage for each row and item."""
+        """(row, item, score, question overlap, answer overlap) of each row and item whose sides both reach ``overlap``."""
         pair = np.flatnonzero(words.row[:-1] == words.row[1:])
         at, term = self.term_of(combined([words.hash[pair], words.hash[pair + 1]])) if len(pair) else (pair, pair)
         at = pair[at]
@@ -169,21 +224,26 @@ class Index:
         row_of = np.repeat(np.arange(len(counts)), halves)
         follows = np.append(row_of[1:] == row_of[:-1], False)  # the next half is of the same row
         bound = bound[:-1] + np.where(follows[:, None], bound[1:], 0)
-        best: dict[tuple[int, int], tuple[float, float, float]] = {}
+        # (row, place of the item) -> best score, and the spans in which the whole item may stand.
+        retrieved: dict[tuple[int, int], list] = {}
         for i in np.flatnonzero((bound >= threshold - 1e-9).any(axis=1)):
             to = i + 2 if follows[i] else i + 1
             found = self.wand(distinct(term[starts[i] : starts[to]]), threshold)
-            if not found:
-                continue
             row = int(row_of[i])
-            begin = words.first[row] + (i - first_half[row]) * SEGMENT
-            passage = words.hash[begin : min(begin + (to - i) * SEGMENT, words.first[row + 1])]
-            present = pairs_of(passage)
+            begin = int(i - first_half[row]) * SEGMENT
             for segment, score in found:
-                shares = share(self.segments.question[segment], present), share(self.segments.answer[segment], present)
-                if min(shares) >= overlap:
-                    key = row, self.segments.item[segment]
-                    best[key] = max(best.get(key, (0.0, 0.0, 0.0)), (min(score, 1.0), *shares))
+                place, size = self.segments.place[segment], int(counts[row])
+                before, after = self.segments.begin[segment], self.segments.items[place].size - self.segments.begin[segment] - self.segments.length[segment]
+                span = max(0, begin - before), min(begin + int(to - i) * SEGMENT + after, size)
+                entry = retrieved.setdefault((row, place), [0.0, []])
+                entry[0] = max(entry[0], min(score, 1.0))
+                entry[1].append(span)
+        best: dict[tuple[int, int], tuple[float, float, float]] = {}
+        for (row, place), (score, spans) in retrieved.items():
+            shares = self.segments.items[place].overlaps(words.hash[words.first[row] : words.first[row + 1]], spans)
+            if min(shares) >= overlap:
+                key = row, self.item_of[place]
+                best[key] = max(best.get(key, (0.0, 0.0, 0.0)), (score, *shares))
         return [(*k, *v) for k, v in sorted(best.items())]
 
 
@@ -219,8 +279,9 @@ def contaminated(docs: DataFrame, indexes: list[Index], threshold: float = THRES
     """(doc_id, item_id, score, question_overlap, answer_overlap), one row per document and item found in it.
 
     ``score`` is the best share of the item's own BM25 score among the document's passages, from
-    ``threshold`` to 1; the overlaps are shares of the item's word pairs in that passage. Of items in
-    several segments one has to be found. Null and empty texts contain nothing; rows of one id are
+    ``threshold`` to 1; the overlaps are shares of the whole question's and the whole answer's word pairs
+    in all passages retrieved for the item (of sides of fewer than FEW words, of words and pairs), and both
+    have to reach ``overlap``. Null and empty texts contain nothing; rows of one id are
     reported each; no items, or no documents, give an empty result; other columns are ignored.
     """
     def search(index: Index):

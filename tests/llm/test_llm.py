@@ -182,6 +182,35 @@ def test_contaminated(spark):
     assert decontaminate.contaminated(docs, []).count() == 0
 
 
+def test_contaminated_needs_the_whole_question_and_the_whole_answer(spark):
+    draw = random.Random(9)
+    sentence = lambda n: " ".join(f"t{draw.randrange(4000)}" for _ in range(n)).capitalize()
+    parts = [(sentence(n), sentence(m)) for n, m in ((60, 12), (30, 1), (200, 60), (12, 90), (30, 3), (70, 1))]
+    parts.append((f"{parts[1][0]} {sentence(8)} yes {sentence(8)}", "Yes"))  # the answer's word is in the question too
+    texts, want = [], []
+    for i, (question, answer) in enumerate(parts):
+        for held in (f"{question}. {answer}.", f"{question}.", f"{answer}."):
+            if held.startswith(question) and answer in held.split(". ")[-1]:
+                want.append((len(texts), i))
+            texts.append(f"{sentence(70)}. {held} {sentence(70)}.")
+    # Of long items, one segment's words, and both sides at the two ends of a document.
+    texts.append(f"{sentence(60)} {' '.join(parts[2][0].split()[40:100])} {sentence(60)}")
+    want.append((len(texts), 2))
+    texts.append(f"{parts[2][0]}. {sentence(400)}. {parts[2][1]}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    index = decontaminate.build(spark.createDataFrame([(i, f"{q}. {a}.") for i, (q, a) in enumerate(parts)], "item_id long, text string"))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, index).collect()}
+    assert got == set(want)
+    assert decontaminate.without_contaminated(docs, index).count() == len(texts) - len(want)
+
+
+def test_an_answer_has_words():
+    for text in ("Is it so? Yes. ...", "Is it so? Yes. - !", "is it so yes ... !", "... is it so yes"):
+        question, answer = decontaminate.question_and_answer(text)
+        assert "so" in question and "es" in answer
+    assert decontaminate.question_and_answer("a b c d e f") == ("a b c d", "e f")
+
+
 def test_wand_against_all_scores():
     draw = random.Random(3)
     items = [(i, " ".join(draw.choice("abcdefgh") for _ in range(30))) for i in range(90)]
