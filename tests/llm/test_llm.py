@@ -157,6 +157,18 @@ def test_similar_groups(spark, words, percent):
     assert jaccard.similar_groups(empty(spark), words, percent).count() == 0
 
 
+def test_similar_groups_with_empty_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 3000)  # more blocks than sets
+    n = 12_000
+    base = [f"w{i}" for i in range(n)]
+    changed = lambda words, a, b, mark: [*words[:a], *(f"{mark}{i}" for i in range(a, b)), *words[b:]]
+    far = changed(base, 9000, n, "x")  # within the bound, below the similarity
+    rows = [base, far, changed(base, 0, 200, "y"), changed(far, 0, 900, "z"), changed(changed(far, 0, 900, "z"), 2000, 2900, "v"), changed(base, 3000, 6000, "u")]
+    rows = [(i, " ".join(words)) for i, words in enumerate(rows)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()}
+    assert got == brute_components(rows, 1, 80)
+
+
 def test_tree_search_returns_all_within_the_bound():
     draw = np.random.default_rng(1)
     vectors = draw.poisson(3, (500, 16)).astype(np.int32)
