@@ -260,6 +260,23 @@ def test_pseudonyms(spark):
     assert pii.with_pseudonyms(docs, b"key").columns == docs.columns
 
 
+def test_pseudonyms_whatever_follows():
+    permute = pii.Permutation(b"key")
+    ibans = ["AT61 1904 3002 3457 3201", "ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"]
+    values = {v: "iban" for v in ibans} | {"8.8.8.8": "ip", "1.1.1.1": "ip", "4111 1111 1111 1111": "card", "078-05-1120": "ssn", "+1 (487) 555-7209": "phone"}
+    for value, kind in values.items():
+        (alone,) = pii.spans(value, permute)
+        assert alone[:3] == (0, len(value), kind), value
+        for before in ("", "x ", "(", "AB12 ", "1234 ", "\n"):
+            for after in ("", ",", ".", ";", ")", "\n", " x", " BIC", " EUR", " BIC ABCDEF12XXX", " 12", " 123", " USD 100", "\nEUR", " A1B2 C3D4"):
+                text = before + value + after
+                if kind in ("phone", "ssn") and (before.strip().isalnum() or after.strip().isdigit()):
+                    continue
+                found = [s for s in pii.spans(text, permute) if s[2] == kind]
+                assert (len(before), len(before) + len(value), kind, alone[3]) in found, text
+    assert pii.spans("AT61 1904 3002 3457 3202 BIC and 1.1.1.256, 2.0.1", permute) == []
+
+
 def labelled(spark, n, mark):
     draw = random.Random(8)
     rows = []
