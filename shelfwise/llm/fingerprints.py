@@ -1,7 +1,10 @@
 """Fingerprints of documents as sums of wide vectors hashed from their paragraphs, with SQL functions only.
 
-A paragraph ends at a line break or a mark, and within longer sentences after words in d or t: a rule
-of the text alone, so that an edit changes few paragraphs, and short texts have several. Its hash gives a vector: four full 32-bit words, and LANES words with a zero or one in each half.
+A paragraph ends at a line break or a mark of any script, and within longer sentences after words in d
+or t. What is still longer than LONG characters ends wherever the hash of the last WINDOW characters is
+a multiple of SPACING, and after LONGEST characters at the latest, so that a long text has many
+paragraphs whatever its language. These are rules of the text alone, so that an edit changes few
+paragraphs. Its hash gives a vector: four full 32-bit words, and LANES words with a zero or one in each half.
 A fingerprint is the number of paragraphs and the sum of their vectors, modulo 2**32 by word. Sums do not depend on the order, and
 adding or taking away a paragraph is adding or subtracting its vector; the full words tell sets of
 paragraphs apart, and the small counts estimate how many paragraphs two documents have in common.
@@ -15,13 +18,43 @@ from shelfwise.functions.storage import cut
 
 FULL, LANES = 4, 64  # full 32-bit words; words of two 32-bit counts each
 _WORD, _HALVES = (1 << 32) - 1, (1 << 32) | 1
-PARAGRAPH = r"(?<=[\n.,;:!?])|(?<=[dt] )"
+# Line breaks and marks beyond ASCII: of Latin, Greek, Armenian, Hebrew, Arabic, Indic, Thai, Tibetan, Burmese, Ethiopic, Khmer, Mongolian, Chinese and Japanese.
+MARKS = (r"\u0085\u2028\u2029\u2026\u203c\u203d\u2047-\u2049\u037e\u0387\u0589\u055c-\u055e\u05c3\u060c\u061b\u061e\u061f\u06d4\u0700-\u070a"
+         r"\u0964\u0965\u0e2f\u0e5a\u0e5b\u0f0d\u0f0e\u104a\u104b\u1362-\u1368\u17d4-\u17d6\u1802-\u1805\u1808\u1809"
+         r"\u3001\u3002\uff01\uff0c\uff0e\uff1a\uff1b\uff1f\uff61\uff64")
+PARAGRAPH = rf"(?<=[\n.,;:!?])|(?<=[dt] )|(?<=[\u0085-\uffff&&[{MARKS}]])"  # the range rules most characters out at once
+LONG, WINDOW, SPACING, LONGEST = 96, 4, 24, 128
+PART = 4096  # characters that are taken apart at a time
 SLICE = 2048  # neighbouring ids that are put in order in one task
 
 
 def paragraphs(text: Column) -> Column:
     """The paragraphs of a text with the marks that end them; none of an empty text."""
-    return F.array_remove(F.split(text, PARAGRAPH), "")
+    parts = F.array_remove(F.split(text, PARAGRAPH), "")
+    return F.flatten(F.transform(parts, lambda p: F.when(F.char_length(p) <= LONG, F.array(p)).otherwise(_pieces(p))))
+
+
+def _runs(text: Column, longest: int) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{longest}}}"), F.lit(0))
+
+
+def _pieces(text: Column) -> Column:
+    """A long text in pieces that end by their last characters, of at most LONGEST characters."""
+    def ends(chars: Column) -> Column:
+        def is_end(i: Column) -> Column:
+            last = [F.get(chars, i - k) for k in range(WINDOW, 0, -1)]
+            return (F.pmod(F.xxhash64(*last), F.lit(SPACING)) == 0) | (i == F.size(chars))
+
+        return F.filter(F.sequence(F.lit(1), F.size(chars)), is_end)
+
+    def between(chars: Column, ends: Column) -> Column:
+        start = lambda k: F.coalesce(F.get(ends, k - 1), F.lit(0))
+        return F.transform(ends, lambda end, k: F.array_join(F.slice(chars, start(k) + 1, end - start(k)), ""))
+
+    # Arrays of one entry give what is used for every character a name, so that it is made once.
+    named = lambda value, use: F.transform(F.array(value), use)[0]
+    split = F.transform(_runs(text, PART), lambda p: named(F.split(p, ""), lambda chars: named(ends(chars), lambda at: between(chars, at))))
+    return F.flatten(F.transform(F.flatten(split), lambda p: _runs(p, LONGEST)))
 
 
 def hashed(paragraph: Column) -> list[Column]:

@@ -352,3 +352,23 @@ def test_fingerprints_add_up(spark):
     row = spark.createDataFrame([(a, b, both)], "a array<long>, b array<long>, both array<long>")
     found = row.select(fingerprints.plus(F.col("a"), F.col("b")).alias("sum"), fingerprints.minus(F.col("both"), F.col("b")).alias("rest")).first()
     assert found["sum"] == both and found["rest"] == a
+
+
+def test_long_texts_of_all_scripts_have_many_paragraphs(spark):
+    from pyspark.sql import functions as F
+
+    draw = random.Random(6)
+    some = lambda letters, n: "".join(draw.choice(letters) for _ in range(n))
+    chinese, arabic = [chr(0x4E00 + i) for i in range(3000)], [chr(0x627 + i) for i in range(20)] + [" "] * 4
+    texts = ["。".join(some(chinese, 15) for _ in range(80)), some(chinese, 2000), "؟ ".join(some(arabic, 40) for _ in range(40)), "\u0964".join(some("कखगघ ", 30) for _ in range(40)),
+             " ".join(some("ABCDEFGH", 6) for _ in range(400)), some("0123456789abcdef", 9000), some("😀😁😂😃😄😅", 900), "a" * 5000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    pieces = {r["doc_id"]: r["p"] for r in docs.select("doc_id", fingerprints.paragraphs(F.col("text")).alias("p")).collect()}
+    for i, text in enumerate(texts):
+        assert "".join(pieces[i]) == text and len(pieces[i]) >= len(text) // 128 and max(map(len, pieces[i])) <= 128
+    near = {r["doc_id"]: r["near_edited"] for r in fingerprints.fingerprints(docs.where("doc_id < 7")).collect()}
+    assert all(0.5 < x < 0.85 for x in near.values()), near
+    # A change in front leaves most of the borders behind it.
+    moved = spark.createDataFrame([("x" * 7 + texts[5],)], "text string").select(fingerprints.paragraphs(F.col("text"))).first()[0]
+    assert len(set(moved) & set(pieces[5])) > 0.9 * len(pieces[5])
+    assert len(pieces[1]) > 30
