@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.storage import scratch_path
-from shelfwise.llm import decontaminate, fingerprints, huffman, jaccard, packing, pii, quality, secrets, token_counts, toxicity
+from shelfwise.llm import decontaminate, fingerprints, huffman, jaccard, packing, pii, quality, runs, secrets, token_counts, toxicity
 from shelfwise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,37 @@ def op5_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_paragraph_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def with_echoes(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of every tenth document by checksum, the words from some place on repeat what begins there.
+
+    With h the checksum of the id and g = floor(h / 10): if h % 10 = 0, words i >= a = g % n become words
+    a + (i - a) % p of the n words, p = 1 + floor((n - a) / (3 + g % 8)), which repeats them ten times at most.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    n, g = F.size("_words"), F.floor(F.col("_h") / 10)
+    a = (F.col("_g") % n).cast("int")
+    p = (1 + F.floor((n - F.col("_a")) / (3 + F.col("_g") % 8))).cast("int")
+    head, cycle = F.slice("_words", 1, F.col("_a")), F.slice("_words", F.col("_a") + 1, F.col("_p"))
+    echoed = F.concat_ws(" ", F.slice(F.concat(head, F.flatten(F.array_repeat(cycle, 11))), F.lit(1), n))
+    numbered = docs.select("doc_id", "text", h.alias("_h"), words.alias("_words")).withColumn("_g", g)
+    numbered = numbered.withColumn("_a", F.when(n > 0, a)).withColumn("_p", p)
+    return numbered.select("doc_id", F.when(n > 0, echoed).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.word_runs(with_echoes(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("longest", longest)
+    length, period = F.col("longest.length"), -F.col("longest.short")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.back")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
