@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.storage import scratch_path
-from shelfwise.llm import decontaminate, fingerprints, huffman, jaccard, packing, pii, quality, runs, secrets, token_counts, toxicity
+from shelfwise.llm import decontaminate, fingerprints, huffman, jaccard, packing, pii, quality, runs, secrets, sharding, token_counts, toxicity
 from shelfwise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,10 @@ def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(1000 * length / period).alias("exponent_milli"),
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
