@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.storage import scratch_path
-from shelfwise.llm import decontaminate, fingerprints, huffman, jaccard, packing, pii, quality, runs, secrets, sharding, token_counts, toxicity
+from shelfwise.llm import decontaminate, fingerprints, huffman, jaccard, packing, pii, quality, runs, secrets, sharding, token_counts, toxicity, whitening
 from shelfwise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,16 @@ def op12_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op13_spectrum_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    fixed = embeddings.select("vec_id", whitening.fixed_point(embeddings, "embedding").alias("vector"))
+    model = whitening.fit(fixed, 32)
+    explained = F.array(*[F.lit(float(v) / model.trace) for v in model.values]).cast("array<double>")
+    by_component = whitening.whiten(fixed, model).select("vec_id", "deviation", F.posexplode("whitened").alias("_i", "whitened"))
+    return by_component.select(
+        "vec_id", (F.col("_i") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"), "whitened", explained[F.col("_i")].alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"))
