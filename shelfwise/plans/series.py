@@ -197,9 +197,98 @@ def ts_holt_winters_search(spark, sf_dir):
     return forecast.holt_winters(monthly_parts(spark, sf_dir))
 
 
-@query("ts_arima")
+def swept_sql(matrix, size, pivot):
+    """One Gauss-Jordan sweep of a matrix held as a list; ``g0`` is its first entry before any sweep."""
+    p = f"{matrix}[{pivot} * {size} + {pivot} + 1]"
+    return f"""list_transform({matrix}, lambda v, c: CASE
+    WHEN {p} <= 1e-12 * g0 THEN CASE WHEN (c - 1) // {size} = {pivot} OR (c - 1) % {size} = {pivot} THEN 0 ELSE v END
+    WHEN (c - 1) // {size} = {pivot} AND (c - 1) % {size} = {pivot} THEN 1 / {p}
+    WHEN (c - 1) // {size} = {pivot} THEN v / {p} WHEN (c - 1) % {size} = {pivot} THEN -v / {p}
+    ELSE v - {matrix}[(c - 1) // {size} * {size} + {pivot} + 1] * {matrix}[{pivot} * {size} + (c - 1) % {size} + 1] / {p} END)"""
+
+
+def arima_sql(p, d, q):
+    """CTE ``models`` (series, p, d, q, n, sigma2, bic, phi, z, level, mean, ar, ma) over the CTE ``parts``, by normal equations."""
+    top_p, top_q = max(p), max(q)
+    long = max(top_p, top_q) + 4
+    lags = long + top_q
+    size, m = lags + 1, 1 + top_p + top_q
+    z = {0: "w0 - mean AS z, 0.0::DOUBLE AS level, mean", 1: "w1 AS z, w0 AS level, 0.0::DOUBLE AS mean"}
+    shifts = ", ".join(f"lag(z, {k}) OVER w" for k in range(size))
+    sums = ", ".join(f"sum(zs[{i + 1}] * zs[{j + 1}])" for i in range(size) for j in range(size))
+    rows = [f"[{', '.join('1.0' if k == i else '0.0' for k in range(size))}]" for i in range(top_p + 1)] + [
+        "[" + ", ".join(["0.0"] * j + ["1.0"] + [f"-phi[{k}]" for k in range(1, long + 1)] + ["0.0"] * (size - j - 1 - long)) + "]"
+        for j in range(1, top_q + 1)]
+    orders = ", ".join(
+        f"({i}, {j}, CAST({[*range(1, i + 1), *range(top_p + 1, top_p + 1 + j)]} AS INTEGER[]))" for i in p for j in q)
+    weight = lambda k, used: f"CASE WHEN {used} THEN m[{k * m + 1}] ELSE 0.0 END"
+    ar = ", ".join(weight(i, f"p >= {i}") for i in range(1, top_p + 1))
+    ma = ", ".join(weight(top_p + j, f"q >= {j}") for j in range(1, top_q + 1))
+    return f"""base0 AS (SELECT series, period, value AS w0, row_number() OVER w AS t, avg(value) OVER (PARTITION BY series) AS mean
+  FROM parts WHERE part = 'train' WINDOW w AS (PARTITION BY series ORDER BY period)),
+base AS (SELECT *, w0 - lag(w0) OVER (PARTITION BY series ORDER BY period) AS w1 FROM base0),
+stacked AS ({' UNION ALL '.join(f"SELECT series, period, t, {k} AS d, {z[k]} FROM base" for k in d)}),
+lagged AS (SELECT *, [{shifts}] AS zs FROM stacked WINDOW w AS (PARTITION BY series, d ORDER BY period)),
+moments AS (SELECT series, d, count(*) AS n, [{sums}] AS g, max_by(zs, period) AS z, max_by(level, period) AS level, any_value(mean) AS mean
+  FROM lagged WHERE t > {lags + max(d)} GROUP BY series, d HAVING count(*) >= {long}),
+auto AS (SELECT series, d, g AS m, g[1] AS g0, 1 AS k FROM moments
+  UNION ALL SELECT series, d, {swept_sql('m', size, 'k')}, g0, k + 1 FROM auto WHERE k <= {long}),
+combined AS (SELECT o.*, a.phi, [{', '.join(rows)}] AS c FROM moments o JOIN (
+  SELECT series, d, [{', '.join(f'm[{k * size + 1}]' for k in range(1, long + 1))}] AS phi FROM auto WHERE k = {long + 1}) a USING (series, d)),
+small AS (SELECT *, list_transform(range({m * m}), lambda ab: list_sum(list_transform(range({size * size}), lambda ij:
+  c[ab // {m} + 1][ij // {size} + 1] * g[ij + 1] * c[ab % {m} + 1][ij % {size} + 1]))) AS s FROM combined),
+orders(p, q, pivots) AS (VALUES {orders}),
+fits AS (SELECT series, d, p, q, pivots, s AS m, g[1] AS g1, s[1] AS g0, 1 AS k FROM small, orders
+  UNION ALL SELECT series, d, p, q, pivots, {swept_sql('m', m, 'pivots[k]')}, g1, g0, k + 1 FROM fits WHERE k <= len(pivots)),
+models AS (SELECT *, n * ln(greatest(sigma2, 1e-300)) + (p + q + CASE WHEN d = 0 THEN 1 ELSE 0 END) * ln(n) AS bic FROM (
+  SELECT series, d, p, q, n, greatest(m[1], 1e-12 * g1) / n AS sigma2, phi, z, level, mean,
+    CAST([{ar}] AS DOUBLE[]) AS ar, CAST([{ma}] AS DOUBLE[]) AS ma
+  FROM (SELECT * FROM fits WHERE k = len(pivots) + 1) JOIN small USING (series, d)))"""
+
+
+def paths_sql(models):
+    """CTE ``paths`` (series, h, yhat) for twelve periods after one model for each series."""
+    dot = lambda a, b: f"coalesce(list_sum(list_transform({a}, lambda x, i: x * {b}[i])), 0)"
+    push = lambda value, old: f"CASE WHEN len({old}) > 0 THEN list_prepend({value}, {old}[1:len({old}) - 1]) ELSE {old} END"
+    return f"""steps AS (
+  SELECT series, d, level, mean, ar, ma, z[1:len(ar)] AS zs,
+    list_transform(ma, lambda _, j: z[j] - list_sum(list_transform(phi, lambda x, i: x * z[j + i]))) AS es, 0 AS h, 0.0::DOUBLE AS new FROM {models}
+  UNION ALL
+  SELECT series, d, level, mean, ar, ma, {push('v', 'zs')}, {push('0.0', 'es')}, h + 1, v
+  FROM (SELECT *, {dot('ar', 'zs')} + {dot('ma', 'es')} AS v FROM steps WHERE h < 12)),
+paths AS (SELECT series, h, CASE WHEN d = 0 THEN new + mean ELSE level + sum(new) OVER (PARTITION BY series ORDER BY h) END AS yhat
+  FROM steps WHERE h > 0),
+held AS (SELECT series, period, value AS y, row_number() OVER (PARTITION BY series ORDER BY period) AS h FROM parts WHERE part = 'test')"""
+
+
+_FORECASTS = """SELECT h.series, period, 'ARIMA' AS model, round(y, 2) AS y, round(yhat, 2) AS yhat
+FROM held h LEFT JOIN paths p ON p.series = h.series AND p.h = h.h"""
+_GRID = arima_sql([0, 1, 2], [0, 1], [0, 1, 2])
+_WEEKLY_RECURSIVE = _WEEKLY.replace("WITH", "WITH RECURSIVE", 1)
+_MONTHLY_RECURSIVE = f"WITH RECURSIVE {SALES}, {series_sql('M', 'category', drop_zero_runs=True)}, {split_sql(12)}"
+
+
+@query("ts_arima", f"{_WEEKLY_RECURSIVE}, {arima_sql([1], [1], [1])}, {paths_sql('models')} {_FORECASTS}")
 def ts_arima(spark, sf_dir):
-    return forecast.arima(weekly_parts(spark, sf_dir), (1, 1, 1))
+    return rounded(forecast.arima(weekly_parts(spark, sf_dir), (1, 1, 1)), 2)
+
+
+@query("ts_arima_search", f"""{_WEEKLY_RECURSIVE}, {_GRID} SELECT series, p, d, q, n, round(ln(sigma2), 6) AS log_variance, round(bic, 4) AS bic,
+  row_number() OVER (PARTITION BY series ORDER BY bic, d, p, q) = 1 AS chosen FROM models""")
+def ts_arima_search(spark, sf_dir):
+    table = forecast.arima_search(weekly_parts(spark, sf_dir)).withColumn("log_variance", F.ln("sigma2")).drop("sigma2")
+    return rounded(rounded(table, 6, ["log_variance"]), 4, ["bic"])
+
+
+@query("ts_arima_best", f"""{_MONTHLY_RECURSIVE}, {_GRID}, best AS (
+  SELECT * FROM models QUALIFY row_number() OVER (PARTITION BY series ORDER BY bic, d, p, q) = 1), {paths_sql('best')} {_FORECASTS}""")
+def ts_arima_best(spark, sf_dir):
+    return rounded(forecast.best_arima(monthly_parts(spark, sf_dir)), 2)
+
+
+@query("ts_arima_seasonal")
+def ts_arima_seasonal(spark, sf_dir):
+    return forecast.arima(monthly_parts(spark, sf_dir), (1, 0, 1), (1, 1, 1, 12))
 
 
 @query("ts_fourier")
