@@ -313,32 +313,124 @@ def seasonal_fit(
     return out
 
 
-def fourier_design(days: np.ndarray, origin: float, yearly: bool, weekly: bool) -> np.ndarray:
-    """Intercept, trend in years, and sine/cosine pairs: 10 yearly and 3 weekly."""
+BREAKS = 25  # candidate breaks of the trend, over the first BREAK_SPAN of the training periods
+BREAK_SPAN = 0.8
+
+
+def fourier_design(days: np.ndarray, origin: float, yearly: bool, weekly: bool, knots: Sequence[float] = ()) -> np.ndarray:
+    """Intercept, trend in years, sine/cosine pairs (10 yearly and 3 weekly), and years since each knot, 0 before it."""
     columns = [np.ones_like(days), (days - origin) / 365.25]
     for active, period, pairs in ((yearly, 365.25, 10), (weekly, 7.0, 3)):
         for k in range(1, pairs + 1) if active else ():
             angle = 2 * np.pi * k * days / period
             columns += [np.sin(angle), np.cos(angle)]
-    return np.column_stack(columns)
+    return np.column_stack(columns + [np.maximum(days - knot, 0) / 365.25 for knot in knots])
+
 
+def sparse_weights(gram: np.ndarray, moment: np.ndarray, threshold: np.ndarray, cycles: int = 2000) -> np.ndarray:
+    """Minimum of b'Gb / 2 - b'm + sum of threshold * |b|, by coordinate descent with soft thresholds.
+
+    As soon as the signs found solve their penalised normal equations, with no other coordinate beyond its threshold,
+    that exact solution is returned.
+    """
+    weights, scale = np.zeros(len(moment)), np.diag(gram)
+    for cycle in range(cycles):
+        before = weights.copy()
+        for j in np.flatnonzero(scale > 0):
+            pull = moment[j] - gram[j] @ weights + scale[j] * weights[j]
+            weights[j] = np.sign(pull) * max(abs(pull) - threshold[j], 0.0) / scale[j]
+        support = np.flatnonzero(weights)
+        if cycle % 10 == 9 or not len(support):
+            sign, exact = np.sign(weights[support]), np.zeros(len(moment))
+            exact[support] = np.linalg.lstsq(gram[np.ix_(support, support)], moment[support] - threshold[support] * sign, rcond=None)[0]
+            left = np.abs(moment - gram @ exact)
+            left[support] = 0
+            if (np.sign(exact[support]) == sign).all() and (left <= threshold * (1 + 1e-9)).all():
+                return exact
+        if np.abs(weights - before).max(initial=0.0) <= 1e-14 * np.abs(weights).max(initial=0.0):
+            break
+    return weights
+
+
+def fit_trend(x: np.ndarray, y: np.ndarray, hinges: int, ridge: float, strictness: float | None) -> np.ndarray:
+    """Weights of a design whose last ``hinges`` columns are breaks of the trend.
+
+    All but the intercept pay ``ridge`` times their square. With ``strictness`` breaks also pay in proportion to their size,
+    each as much as noise would earn it: strictness * sigma * sqrt(2 ln hinges) standard errors, with sigma from
+    the fit with all breaks. Everything is read from the series' Gram matrix.
+    """
+    gram, moment = x.T @ x + np.diag([0.0] + [ridge] * (x.shape[1] - 1)), x.T @ y
+    solve = lambda a, b: np.linalg.lstsq(a, b, rcond=None)[0]
+    if not hinges or strictness is None:
+        return solve(gram, moment)
+    free = x.shape[1] - hinges
+    crossed = solve(gram[:free, :free], gram[:free, free:])
+    # What is left of the breaks once the other columns have explained what they can.
+    reduced, pull = gram[free:, free:] - gram[free:, :free] @ crossed, moment[free:] - crossed.T @ moment[:free]
+    left = y - x @ solve(gram, moment)
+    sigma = (left @ left / max(len(y) - x.shape[1], 1)) ** 0.5
+    least = strictness * sigma * max(2 * np.log(hinges), 1.0) ** 0.5
+    breaks = sparse_weights(reduced, pull, least * np.sqrt(np.maximum(np.diag(reduced), 0)))
+    return np.concatenate([solve(gram[:free, :free], moment[:free] - gram[:free, free:] @ breaks), breaks])
+
+
+def _day_numbers(dates) -> np.ndarray:
+    return (pd.to_datetime(pd.Series(dates)) - pd.Timestamp("1970-01-01")).dt.days.to_numpy(dtype=float)
+
+
+def _trend_fit(pdf: pd.DataFrame, yearly: bool, weekly: bool, ridge: float, breaks, strictness: float):
+    """(days, knots, weights, design) of one series in order of time; weights are None without training periods."""
+    days, train = _day_numbers(pdf["period"]), (pdf["part"] == "train").to_numpy()
+    if isinstance(breaks, int):
+        early = days[train][: max(int(train.sum() * BREAK_SPAN), 0)]
+        knots = np.unique(np.quantile(early, np.linspace(0, 1, breaks + 1)[1:])) if len(early) and breaks else np.empty(0)
+    else:
+        knots, strictness = _day_numbers(breaks), None  # given breaks stay
+    x = fourier_design(days, days[0], yearly, weekly, knots)
+    if not train.any():
+        return days, knots, None, x
+    y = pdf["value"].to_numpy(dtype=float)[train]
+    return days, knots, fit_trend(x[train], y, len(knots), ridge, strictness), x
 
-def fourier(parts: DataFrame, yearly_seasonality: bool = True, weekly_seasonality: bool = True, ridge: float = 0.01) -> DataFrame:
-    """Linear trend plus yearly and weekly Fourier terms per series, by ridge regression."""
 
+def fourier(
+    parts: DataFrame, yearly_seasonality: bool = True, weekly_seasonality: bool = True, ridge: float = 0.01,
+    breaks: int | Sequence[str] = BREAKS, strictness: float = 1.0,
+) -> DataFrame:
+    """Trend with breaks plus yearly and weekly Fourier terms per series, by penalised regression.
+
+    ``breaks`` is the number of candidates, at even shares of the first periods, of which the fit keeps what the series
+    calls for, or the dates of breaks that are known; 0 gives a straight trend. See ``fit_trend``.
+    """
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("period")
-        days = (pd.to_datetime(pdf["period"]) - pd.Timestamp("1970-01-01")).dt.days.to_numpy(dtype=float)
-        train = (pdf["part"] == "train").to_numpy()
-        test = pdf[~train]
-        yhat = np.full(len(test), np.nan)
-        if train.any():
-            x = fourier_design(days, days[0], yearly_seasonality, weekly_seasonality)
-            y = pdf.loc[train, "value"].to_numpy(dtype=float)
-            penalty = np.diag([0.0] + [ridge] * (x.shape[1] - 1))
-            beta = np.linalg.lstsq(x[train].T @ x[train] + penalty, x[train].T @ y, rcond=None)[0]
-            yhat = x[~train] @ beta
+        _, _, weights, x = _trend_fit(pdf, yearly_seasonality, weekly_seasonality, ridge, breaks, strictness)
+        ahead = (pdf["part"] != "train").to_numpy()
+        test = pdf[ahead]
+        yhat = np.full(len(test), np.nan) if weights is None else x[ahead] @ weights
         return pd.DataFrame({
             "series": test["series"], "period": test["period"], "model": "Fourier", "y": test["value"], "yhat": yhat})
 
     return parts.groupBy("series").applyInPandas(run, _FORECAST)
+
+
+def trend_breaks(
+    parts: DataFrame, yearly_seasonality: bool = True, weekly_seasonality: bool = True, ridge: float = 0.01,
+    breaks: int | Sequence[str] = BREAKS, strictness: float = 1.0,
+) -> DataFrame:
+    """(series, day, slope, change): the slope a year of the trend that ``fourier`` fits, from its first day and from each break on."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("period")
+        days, knots, weights, x = _trend_fit(pdf, yearly_seasonality, weekly_seasonality, ridge, breaks, strictness)
+        if weights is None:
+            return pd.DataFrame({c: pd.Series(dtype=kind) for c, kind in
+                                 (("series", object), ("day", object), ("slope", float), ("change", float))})
+        change = weights[x.shape[1] - len(knots) :]
+        kept = np.flatnonzero(change)
+        day = pd.Timestamp("1970-01-01") + pd.to_timedelta(np.concatenate([days[:1], np.floor(knots[kept])]), unit="D")
+        return pd.DataFrame({
+            "series": pdf["series"].iloc[0], "day": pd.Series(day).dt.date,
+            "slope": weights[1] + np.concatenate([[0.0], np.cumsum(change[kept])]),
+            "change": np.concatenate([[0.0], change[kept]])})
+
+    return parts.groupBy("series").applyInPandas(run, "series string, day date, slope double, change double")

@@ -296,6 +296,37 @@ def ts_fourier(spark, sf_dir):
     return forecast.fourier(weekly_parts(spark, sf_dir))
 
 
+@query("ts_trend_breaks")
+def ts_trend_breaks(spark, sf_dir):
+    return forecast.trend_breaks(weekly_parts(spark, sf_dir))
+
+
+_BREAKS, _RIDGE = ["1996-09-30", "1998-04-01", "2000-01-15"], 0.01
+
+
+def _trend_sql():
+    """Ridge regression on intercept, trend, ten yearly pairs and three given breaks, by normal equations."""
+    waves = [f"{f}(2 * pi() * {k} * day / 365.25)" for k in range(1, 11) for f in ("sin", "cos")]
+    hinges = [f"greatest(day - date_diff('day', DATE '1970-01-01', DATE '{b}'), 0) / 365.25" for b in _BREAKS]
+    design = ["1.0::DOUBLE", "(day - origin) / 365.25", *waves, *hinges]
+    size = len(design) + 1
+    sums = ", ".join(
+        f"sum(x[{i + 1}] * x[{j + 1}])" + (f" + {_RIDGE}" if i == j and 0 < i < size - 1 else "") for i in range(size) for j in range(size))
+    return f"""{_WEEKLY_RECURSIVE}, dated AS (
+  SELECT *, date_diff('day', DATE '1970-01-01', period) AS day, min(date_diff('day', DATE '1970-01-01', period)) OVER (PARTITION BY series) AS origin FROM parts),
+designed AS (SELECT series, period, part, value, [{', '.join(design)}, value] AS x FROM dated),
+fit AS (SELECT series, [{sums}] AS m, 1.0 AS g0, 0 AS k FROM designed WHERE part = 'train' GROUP BY series
+  UNION ALL SELECT series, {swept_sql('m', size, 'k')}, g0, k + 1 FROM fit WHERE k < {size - 1}),
+weights AS (SELECT series, list_transform(range({size - 1}), lambda i: m[i * {size} + {size}]) AS w FROM fit WHERE k = {size - 1})
+SELECT d.series, period, 'Fourier' AS model, round(value, 2) AS y, round(list_sum(list_transform(w, lambda b, i: b * x[i])), 2) AS yhat
+FROM designed d JOIN weights USING (series) WHERE part = 'test'"""
+
+
+@query("ts_fourier_given_breaks", _trend_sql())
+def ts_fourier_given_breaks(spark, sf_dir):
+    return rounded(forecast.fourier(weekly_parts(spark, sf_dir), True, False, _RIDGE, _BREAKS), 2)
+
+
 @query("ts_compare_all")
 def ts_compare_all(spark, sf_dir):
     parts = weekly_parts(spark, sf_dir)

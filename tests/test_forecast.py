@@ -98,3 +98,49 @@ def test_seasonal_polynomials_multiply():
     assert ahead == pytest.approx(0.5 * e[-1] + 0.4 * e[-12] + 0.2 * e[-13], abs=0.3)
     with pytest.raises(ValueError):
         forecast.seasonal_fit(z, (1, 0, 0), (1, 0, 0, 1), 1)
+
+
+def test_kinks_come_back(spark):
+    draw = np.random.default_rng(3)
+    day = np.arange(1500.0)
+    hinge = np.maximum(day - 600, 0)
+    season = 20 * np.sin(2 * np.pi * day / 365.25)
+    data = {
+        "kinked": 100 + 0.10 * day - 0.35 * hinge + season + draw.standard_normal(1500),
+        "two": 0.2 * day - 0.4 * np.maximum(day - 300, 0) + 0.5 * np.maximum(day - 900, 0) + draw.standard_normal(1500),
+        "straight": 5 + 0.05 * day + season + draw.standard_normal(1500),
+    }
+    parts = timeseries.split(series(spark, **data), 100)
+    rows = forecast.trend_breaks(parts, weekly_seasonality=False).collect()
+    origin = datetime.date(2018, 1, 1)
+    slope_at = lambda name, t: [r["slope"] for r in sorted(rows, key=lambda r: r["day"]) if r["series"] == name and (r["day"] - origin).days <= t][-1]
+    for name, t, slope in (("kinked", 500, 0.1), ("kinked", 700, -0.25), ("two", 200, 0.2), ("two", 700, -0.2), ("two", 1100, 0.3)):
+        assert slope_at(name, t) == pytest.approx(slope * 365.25, rel=0.06), (name, t)
+    near = [(r["day"] - origin).days for r in rows if r["series"] == "kinked" and abs(r["change"]) > 10]
+    assert near and all(500 <= t <= 700 for t in near)
+    assert sum(abs(r["change"]) for r in rows if r["series"] == "straight") < 4
+    error = {r["series"]: r["mae"] for r in metrics.forecast_metrics(forecast.fourier(parts, weekly_seasonality=False)).collect()}
+    straight = {r["series"]: r["mae"] for r in metrics.forecast_metrics(forecast.fourier(parts, weekly_seasonality=False, breaks=0)).collect()}
+    assert error["kinked"] < 5 and error["kinked"] < straight["kinked"] / 10 and error["straight"] < 3
+
+
+def test_sparse_weights_meet_their_conditions():
+    draw = np.random.default_rng(4)
+    for _ in range(100):
+        x = draw.standard_normal((60, 8)) @ np.triu(np.ones((8, 8)))
+        gram, moment, threshold = x.T @ x, x.T @ draw.standard_normal(60), draw.random(8) * 10
+        w = forecast.sparse_weights(gram, moment, threshold)
+        left = moment - gram @ w
+        assert (abs(left) <= threshold + 1e-6).all()
+        assert abs(left - threshold * np.sign(w))[w != 0].max(initial=0) < 1e-6
+
+
+def test_given_breaks_are_kept(spark):
+    day = np.arange(400.0)
+    data = {"s": 3 + 0.5 * day - 0.8 * np.maximum(day - 200, 0), "untrained": [1.0, 2.0]}
+    parts = timeseries.split(series(spark, **data), 10)
+    given = [str(datetime.date(2018, 1, 1) + datetime.timedelta(days=200))]
+    rows = forecast.trend_breaks(parts, False, False, 1e-9, given).orderBy("day").collect()
+    assert [round(r["slope"] / 365.25, 6) for r in rows] == [0.5, -0.3] and str(rows[1]["day"]) == given[0]
+    table = forecast.fourier(parts, False, False, 1e-9, given).collect()
+    assert all(abs(r["y"] - r["yhat"]) < 1e-4 for r in table if r["series"] == "s")
