@@ -6,19 +6,21 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from math import sqrt
 
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, IndexToString, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.lookup import left_lookup
 from shelfwise.functions.ordered import row_numbers
-from shelfwise.functions.storage import cut
+from shelfwise.functions.storage import cut, scratch_path
 from shelfwise.operators import metrics
 
 MODELS = ("LogisticRegression", "DecisionTree", "RandomForest")
+LEAST_TO_SPLIT = 5  # rows of a tree's node that may still be split
 
 
 def _shuffled(df: DataFrame, key: str, target: str, seed: int) -> DataFrame:
@@ -83,11 +85,52 @@ class Fitted:
         return Fitted(name, list(pipeline.stages[1].getInputCols()), pipeline)
 
 
+def _pruned_nodes(nodes: list[dict], least: int) -> list[dict]:
+    """The nodes of one tree, numbered from 0 with parents before children, where no node below ``least`` rows is split."""
+    by_id, kept, waiting = {n["id"]: n for n in nodes}, [], [(0, None, None)]
+    while waiting:
+        id, parent, side = waiting.pop()
+        node = dict(by_id[id], id=len(kept))
+        kept.append(node)
+        if parent is not None:
+            parent[side] = node["id"]
+        if node["leftChild"] >= 0 and node["rawCount"] >= least:
+            waiting += [(node["rightChild"], node, "rightChild"), (node["leftChild"], node, "leftChild")]
+        else:
+            none = {"featureIndex": -1, "leftCategoriesOrThreshold": [], "numCategories": -1}
+            node |= {"leftChild": -1, "rightChild": -1, "gain": -1.0, "split": none}
+    return kept
+
+
+def pruned(model, spark: SparkSession, least: int = LEAST_TO_SPLIT):
+    """A fitted tree or forest in which nodes of fewer than ``least`` rows predict what they held instead of being split.
+
+    Trees are built by depth and rows per leaf only, so this turns small inner nodes of the written model into leaves;
+    a task works on one tree at a time, whose nodes are bounded by its depth.
+    """
+    grown, cutback = scratch_path(spark, "tree"), scratch_path(spark, "tree")
+    model.write().save(grown)
+    nodes = spark.read.parquet(f"{grown}/data")
+    forest = "nodeData" in nodes.columns
+
+    def prune(tree: pa.Table) -> pa.Table:
+        rows = tree.to_pylist()
+        kept = _pruned_nodes([r["nodeData"] if forest else r for r in rows], least)
+        return pa.Table.from_pylist([{"treeID": rows[0]["treeID"], "nodeData": n} for n in kept] if forest else kept, tree.schema)
+
+    by = ["treeID"] if forest else []
+    nodes.groupBy(*by).applyInArrow(prune, nodes.schema).write.parquet(f"{cutback}/data")
+    spark.read.text(f"{grown}/metadata").coalesce(1).write.text(f"{cutback}/metadata")
+    if forest:
+        spark.read.parquet(f"{grown}/treesMetadata").write.parquet(f"{cutback}/treesMetadata")
+    return type(model).load(cutback)
+
+
 def train(
     train_rows: DataFrame, features: Sequence[str], target: str, model: str = "RandomForest", *,
     scale: bool = True, seed: int = 42, max_depth: int | None = None, n_estimators: int = 100,
 ) -> Fitted:
-    """Fits labels in alphabetical order, scaling by the population deviation, and the classifier."""
+    """Fits labels in alphabetical order, scaling by the population deviation, and the classifier; trees are ``pruned``."""
     features = list(features)
     rows = train_rows.count()
     stages = [
@@ -106,7 +149,10 @@ def train(
         indexer, *stages[1:], _classifier(model, rows, seed, max_depth, n_estimators),
         IndexToString(inputCol="prediction", outputCol="y_pred", labels=indexer.labels),
     ]
-    return Fitted(model, features, Pipeline(stages=stages).fit(train_rows))
+    fitted = Pipeline(stages=stages).fit(train_rows)
+    if model != "LogisticRegression":
+        fitted = PipelineModel([*fitted.stages[:-2], pruned(fitted.stages[-2], train_rows.sparkSession), fitted.stages[-1]])
+    return Fitted(model, features, fitted)
 
 
 def evaluate(predictions: DataFrame, model: str) -> DataFrame:

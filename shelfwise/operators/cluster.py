@@ -19,6 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.lookup import left_lookup
+from shelfwise.functions.quantiles import exact_quantiles
 from shelfwise.functions.storage import cut
 
 MICRO_CLUSTERS = 500
@@ -63,6 +64,45 @@ def fit_kmeans(
     return clustered.drop("_vector", "_found"), float(best.summary.trainingCost)
 
 
+def lloyd(
+    df: DataFrame, features: Sequence[str], start: Sequence[Sequence[float]], rounds: int = 12
+) -> tuple[DataFrame, list[list[float]]]:
+    """(df with ``cluster``, centres): k-means from given centres, the same for every run.
+
+    A round gives each row to its nearest centre, the first among ties, and moves centres to the means of their rows; a
+    centre without rows stays. It ends when no centre moves. Clusters are numbered in the order of their centres.
+    """
+    centres = [[float(v) for v in c] for c in start]
+
+    def nearest(centres):
+        gaps = [F.struct(_square([F.col(f) - v for f, v in zip(features, c)]).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centres)]
+        return F.least(*gaps)["i"] if len(gaps) > 1 else F.lit(0)
+
+    for _ in range(rounds):
+        moved = df.groupBy(nearest(centres).alias("i")).agg(*[F.avg(f).alias(f) for f in features])
+        means = {r["i"]: [r[f] for f in features] for r in moved.collect()}  # k rows
+        before, centres = centres, [means.get(i, c) for i, c in enumerate(centres)]
+        if centres == before:
+            break
+    order = sorted(range(len(centres)), key=lambda i: centres[i])
+    centres = [centres[i] for i in order]
+    return df.withColumn("cluster", nearest(centres).cast("int")), centres
+
+
+def quantile_start(df: DataFrame, features: Sequence[str], k: int) -> list[list[float]]:
+    """k centres along the diagonal of the data: the same quantile, (i + 1/2) / k, of every feature."""
+    shares = [(i + 0.5) / k for i in range(k)]
+    found = exact_quantiles(df, features, shares)
+    return [[found[f][i] for f in features] for i in range(k)]
+
+
+def segment_letters(cluster: Column) -> Column:
+    """'Segment A' for cluster 0, 'Segment B' for 1 and so on; after Z come AA, AB, ..."""
+    letter = lambda n: F.char(65 + n)
+    high = F.floor(cluster / 26)
+    return F.concat(F.lit("Segment "), F.when(high > 0, letter(high - 1)).otherwise(""), letter(cluster % 26))
+
+
 def linkage_labels(centres: np.ndarray, sizes: np.ndarray, k: int, linkage: str) -> np.ndarray:
     """Agglomerates weighted points down to k groups by the Lance-Williams update."""
     n = len(centres)

@@ -53,3 +53,39 @@ def test_cross_validation(customers):
 def test_unknown_model(customers):
     with pytest.raises(ValueError):
         classify.train(customers, ["a"], "kind", "Boosting")
+
+
+@pytest.mark.parametrize("model", ["DecisionTree", "RandomForest"])
+def test_small_nodes_are_not_split(spark, customers, tmp_path, model):
+    classifier = classify._classifier(model, 300, 1, 8, 5)
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+    rows = StringIndexer(inputCol="kind", outputCol="label").fit(customers).transform(customers)
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    grown = classifier.fit(rows)
+    for least in (5, 40, 10_000):
+        cut_back = classify.pruned(grown, spark, least)
+        path = f"{tmp_path}/{least}"
+        cut_back.save(path)
+        nodes = spark.read.parquet(f"{path}/data")
+        nodes = nodes.select("treeID", "nodeData.*") if "nodeData" in nodes.columns else nodes.selectExpr("0 AS treeID", "*")
+        inner = nodes.where("leftChild >= 0")
+        assert inner.where(f"rawCount < {least}").count() == 0
+        if least == 40:
+            assert nodes.count() < (grown.totalNumNodes if model == "RandomForest" else grown.numNodes)
+        if least == 5:
+            # Rows whose path has no small inner node keep their prediction: the leaf's class counts are the node's.
+            before = {r["id"]: r["probability"] for r in grown.transform(rows).select("id", "probability").collect()}
+            after = {r["id"]: r["probability"] for r in cut_back.transform(rows).select("id", "probability").collect()}
+            assert 0 < sum(before[i] == after[i] for i in before)
+        if least == 10_000:
+            assert nodes.count() == nodes.select("treeID").distinct().count()  # only roots are left
+
+
+def test_pruned_nodes_by_hand():
+    leaf = {"leftChild": -1, "rightChild": -1, "gain": -1.0, "split": {"featureIndex": -1, "leftCategoriesOrThreshold": [], "numCategories": -1}}
+    node = lambda id, count, left=-1, right=-1: leaf | {"id": id, "rawCount": count} | (
+        {"leftChild": left, "rightChild": right, "gain": 0.1, "split": {"featureIndex": 0, "leftCategoriesOrThreshold": [0.5], "numCategories": -1}} if left >= 0 else {})
+    tree = [node(0, 11, 1, 4), node(1, 4, 2, 3), node(2, 2), node(3, 2), node(4, 7, 5, 6), node(5, 2), node(6, 5)]
+    got = [(n["id"], n["rawCount"], n["leftChild"], n["rightChild"], n["split"]["featureIndex"]) for n in classify._pruned_nodes(tree, 5)]
+    assert got == [(0, 11, 1, 2, 0), (1, 4, -1, -1, -1), (2, 7, 3, 4, 0), (3, 2, -1, -1, -1), (4, 5, -1, -1, -1)]
