@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfwise.functions.lookup import left_lookup
 from shelfwise.functions.quantiles import exact_quantiles
 from shelfwise.functions.storage import cut
+from shelfwise.operators.partners import best_other
 
 MICRO_CLUSTERS = 500
+FEW_CLUSTERS = 200  # so many centres are held against every row; beyond, a grid is used
 PARALLEL_STARTS = 8  # k-means runs submitted at the same time
 LINKAGES = ("ward", "average", "complete")
 
@@ -178,8 +180,16 @@ def _gap(a: Column, b: Column) -> Column:
 
 
 def davies_bouldin(clustered: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(davies_bouldin): mean over clusters of the worst scatter-to-separation ratio; null below 2 clusters."""
-    spread = _spread(clustered, features).select("cluster", "centre", "scatter")
+    """(davies_bouldin): mean over clusters of the worst scatter-to-separation ratio; null below 2 clusters.
+
+    Up to ``FEW_CLUSTERS`` clusters each is held against all; more are looked up in a grid over the centres.
+    """
+    spread = cut(_spread(clustered, features).select("cluster", "centre", "scatter"))
+    if spread.count() > FEW_CLUSTERS:
+        centres = spread.select("cluster", F.col("centre").alias("position"), F.col("scatter").alias("trait"))
+        ratio = lambda gap, a, b: -F.try_divide(a + b, F.sqrt(gap))
+        worst = best_other(centres.withColumn("id", F.col("cluster")), centres, len(features), ratio, largest_trait=True)
+        return worst.agg(F.avg(-F.col("best")).alias("davies_bouldin"))
     everyone = spread.agg(F.collect_list(F.struct("cluster", "centre", "scatter")).alias("all")).scalar()  # k entries
     others = F.filter("all", lambda o: o["cluster"] != F.col("cluster"))
     ratios = F.transform(others, lambda o: (F.col("scatter") + o["scatter"]) / _gap(F.col("centre"), o["centre"]))
@@ -204,13 +214,34 @@ def _silhouette_of(own: Column, other: Column, size: Column) -> Column:
     return F.when(size <= 1, 0.0).when(top == 0, 0.0).otherwise((other - own) / top)
 
 
+def _silhouette_by_grid(clustered: DataFrame, features: Sequence[str], moments: DataFrame) -> DataFrame:
+    """A cluster's mean squared distance to a point is the squared gap to its centre plus the cluster's variance."""
+    position = F.array(*[F.col(f).cast("double") for f in features])
+    points = cut(clustered.select("cluster", position.alias("position"), F.monotonically_increasing_id().alias("id")))
+    variance = F.greatest(F.col("square") - _length("centre"), F.lit(0.0)).alias("trait")
+    centres = moments.select("cluster", "size", F.col("centre").alias("position"), variance)
+    other = best_other(points.withColumn("trait", F.lit(0.0)), centres.drop("size"), len(features), lambda gap, _, b: gap + b, largest_trait=False)
+    mine = left_lookup(points, centres.select("cluster", "size", F.col("position").alias("_centre"), F.col("trait").alias("_variance")), "cluster")
+    gap = F.aggregate(F.zip_with("position", "_centre", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    own = (gap + F.col("_variance")) * F.col("size") / F.greatest(F.col("size") - 1, F.lit(1))
+    parts = mine.select("id", "size", own.alias("own")).join(other, "id")
+    return parts.agg(F.avg(F.when(F.col("best").isNotNull(), _silhouette_of(F.col("own"), F.col("best"), F.col("size")))).alias("silhouette"))
+
+
+def _length(values: str) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x * x)
+
+
 def silhouette_squared(clustered: DataFrame, features: Sequence[str]) -> DataFrame:
     """(silhouette) by squared distance, in one pass: a cluster's mean squared distance to a point
-    follows from its size, centre and mean square. Null below 2 clusters."""
+    follows from its size, centre and mean square. Null below 2 clusters. Up to ``FEW_CLUSTERS`` clusters
+    every point is held against all; more are looked up in a grid over the centres."""
     norm = _square([F.col(f) for f in features])
-    moments = clustered.groupBy("cluster").agg(
+    moments = cut(clustered.groupBy("cluster").agg(
         F.count("*").alias("size"), F.array(*[F.avg(f) for f in features]).alias("centre"), F.avg(norm).alias("square")
-    )
+    ))
+    if moments.count() > FEW_CLUSTERS:
+        return _silhouette_by_grid(clustered, features, moments)
     everyone = moments.agg(F.collect_list(F.struct("cluster", "size", "centre", "square")).alias("all")).scalar()  # k entries
 
     def to(o: Column) -> Column:

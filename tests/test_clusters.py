@@ -167,3 +167,58 @@ def test_find_k_marks_the_best(spark):
     rows = cluster.find_k(df, "id", names, range(2, 6), n_init=3).orderBy("k").collect()
     assert [r["k"] for r in rows if r["best"]] == [4]
     assert all(a["inertia"] >= b["inertia"] for a, b in zip(rows, rows[1:]))
+
+
+def brute_davies_bouldin(xs, labels):
+    names = np.unique(labels)
+    centre = np.array([xs[labels == c].mean(0) for c in names])
+    scatter = np.array([np.linalg.norm(xs[labels == c] - m, axis=1).mean() for c, m in zip(names, centre)])
+    gap = np.sqrt(((centre[:, None] - centre[None]) ** 2).sum(-1))
+    np.fill_diagonal(gap, np.inf)
+    return ((scatter[:, None] + scatter[None]) / gap).max(1).mean()
+
+
+def brute_squared(xs, labels):
+    names, own = np.unique(labels, return_inverse=True)
+    size = np.bincount(own)
+    centre = np.array([xs[own == c].mean(0) for c in range(len(names))])
+    variance = np.array([((xs[own == c] - centre[c]) ** 2).sum(1).mean() for c in range(len(names))])
+    to = ((xs[:, None] - centre[None]) ** 2).sum(-1) + variance
+    at = np.arange(len(xs)), own
+    a = to[at] * size[own] / np.maximum(size[own] - 1, 1)
+    to[at] = np.inf
+    b = to.min(1)
+    return np.where(size[own] == 1, 0, (b - a) / np.maximum(np.maximum(a, b), 1e-300)).mean()
+
+
+@pytest.mark.parametrize("width, few", [(1, 1), (3, 1), (5, 1), (2, None)])
+def test_many_clusters_are_looked_up_in_a_grid(spark, monkeypatch, width, few):
+    rng = np.random.default_rng(width)
+    if few is not None:
+        monkeypatch.setattr(cluster, "FEW_CLUSTERS", few)
+    k = 60 if few else 700
+    # Most centres crowd in one corner, some are far off, one cluster holds a third of the points.
+    home = np.concatenate([rng.normal(0, 0.3, (k - 10, width)), rng.normal(0, 300, (10, width))])
+    labels = np.concatenate([np.arange(k), rng.integers(0, k, 4 * k), np.zeros(2 * k, int)])
+    xs = home[labels] + rng.normal(0, 0.05, (len(labels), width)) * (1 + labels[:, None] % 5)
+    df, names = points(spark, xs, labels)
+    assert cluster.davies_bouldin(df, names).first()[0] == pytest.approx(brute_davies_bouldin(xs, labels))
+    assert cluster.silhouette(df, "id", names).first()[0] == pytest.approx(brute_squared(xs, labels))
+
+
+def test_grid_with_equal_and_missing_others(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "FEW_CLUSTERS", 0)
+    xs = np.ones((6, 2))
+    df, names = points(spark, xs, np.array([0, 0, 1, 1, 2, 2]))
+    assert cluster.silhouette(df, "id", names).first()[0] == 0.0  # all centres are one point
+    df, names = points(spark, xs, np.zeros(6, int))
+    assert cluster.davies_bouldin(df, names).first()[0] is None
+    assert cluster.silhouette(df, "id", names).first()[0] == 0.0
+
+
+def test_plan_for_many_clusters_gathers_none(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "FEW_CLUSTERS", 3)
+    rng = np.random.default_rng(1)
+    df, names = points(spark, rng.normal(size=(40, 2)), np.arange(40) % 10)
+    for table in (cluster.davies_bouldin(df, names), cluster.silhouette_squared(df, names)):
+        assert "collect_list" not in table._jdf.queryExecution().toString()
