@@ -107,3 +107,46 @@ def test_basket_of_a_hot_order(spark):
         F.concat(F.lit("i"), (F.col("id") % 6).cast("string")).alias("sub_category"), F.lit(1.0).alias("sales"))
     hot = basket.baskets(df).where("order_id = 1").first()
     assert hot["items"] == [f"i{k}" for k in range(6)] and hot["item_count"] == 6
+
+
+def windows_over(plan):
+    """The keys of every window in a plan, as text."""
+    return [line.split("Window [", 1)[1] for line in plan.splitlines() if "Window [" in line]
+
+
+def test_only_the_hot_group_is_sliced(lines, monkeypatch):
+    df, pdf = lines
+    ranged = []
+    from shelfwise.functions import ordered
+
+    sliced = ordered._sliced_totals
+    monkeypatch.setattr(ordered, "_sliced_totals", lambda rows, *a: ranged.append(rows) or sliced(rows, *a))
+    plain = features.lag_features(df, order=["row_id"], hot_rows=10_000)
+    assert not ranged
+    split = features.lag_features(df, order=["row_id"], hot_rows=200)
+    hot = {r["customer_id"]: r["count"] for r in ranged[0].groupBy("customer_id").count().collect()}
+    sizes = {r["customer_id"]: r["count"] for r in df.groupBy("customer_id").count().collect()}
+    assert hot == {1: sizes[1]} and len(sizes) > 50
+    plan = split._jdf.queryExecution().toString()
+    assert any("_chunk" in w for w in windows_over(plan)) and any("_chunk" not in w for w in windows_over(plan))
+    assert split.columns == plain.columns
+    key = lambda r: r["row_id"]
+    for a, b in zip(sorted(plain.collect(), key=key), sorted(split.collect(), key=key)):
+        assert all(x == y or abs(x - y) < 1e-9 for x, y in zip(a, b) if not (x is None and y is None))
+
+
+def test_slices_are_bounded(monkeypatch):
+    from shelfwise.functions import ordered
+
+    assert ordered._slices(10**12, 500_000) == ordered.MAX_SLICES
+    assert ordered._slices(10, 3) == 4 and ordered._slices(0, 0) == 1
+
+
+def test_running_totals_with_hot_and_null_keys(lines):
+    df, pdf = lines
+    df = df.withColumn("customer_id", F.when(F.col("customer_id") % 2 == 0, None).otherwise(F.col("customer_id")))
+    got = row_numbers(df, ["customer_id"], ["sales", "row_id"], "place", hot_rows=150).toPandas()
+    want = df.toPandas().sort_values(["sales", "row_id"])
+    want["place"] = want.groupby("customer_id", dropna=False).cumcount() + 1
+    merged = got.merge(want[["row_id", "place"]], on="row_id")
+    assert len(merged) == len(pdf) and (merged["place_x"] == merged["place_y"]).all()
