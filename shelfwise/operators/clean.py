@@ -234,7 +234,7 @@ def preprocess(
     dedup_subset: Sequence[str] | None = ("order_id", "product_id"),
 ) -> DataFrame:
     """Missing values, duplicates, IQR clipping, date parts, label codes and standard scaling in turn."""
-    df = handle_missing(df)
+    df = handle_missing(cut(df))  # the statistics of the gaps read it several times
     df = cut(drop_duplicates(df, dedup_subset, "first", order))  # read again by every statistic below
     if outlier_cols:
         df = outliers_iqr(df, outlier_cols)
@@ -253,6 +253,7 @@ def cleaning_report(
     dedup_subset: Sequence[str] | None = ("order_id", "product_id"),
 ) -> DataFrame:
     """(metric, name, value): what each stage of ``preprocess`` up to the encoding did."""
+    df = cut(df)
     filled = handle_missing(df)
     unique = cut(drop_duplicates(filled, dedup_subset, "first", order))
     clipped = outliers_iqr(unique, outlier_cols)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.shape import numeric_columns, stacked, text_columns
+from shelfwise.functions.storage import cut
 from shelfwise.operators import profile
 
 # Sentences of the insight report (fixed values).
@@ -22,6 +23,7 @@ GENERAL_ADVICE = [
 
 def eda_report(df: DataFrame) -> DataFrame:
     """(section, column, name, number, text): shape, gaps, duplicates, numeric statistics and frequent values."""
+    df = cut(df)  # read again by every section
     none = F.lit(None)
 
     def line(section, column, name, number: Column, text: Column = none) -> Column:

@@ -73,6 +73,24 @@ def eda_column_info(spark, sf_dir):
     return profile.column_info(sales_with_gaps(spark, sf_dir))
 
 
+def _overview_sql(column):
+    kind = _TYPES[column]
+    x = {"string": None, "timestamp_ntz": f"CAST(epoch({column}) AS DOUBLE)"}.get(kind, f"CAST({column} AS DOUBLE)")
+    moments = f"round(avg({x}), 4) AS mean, round(stddev_samp({x}), 4) AS std" if x else "CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std"
+    shown = "strftime({0}, '%Y-%m-%d %H:%M:%S')" if kind == "timestamp_ntz" else "CAST({0} AS VARCHAR)"
+    ends = [shown.format(f"{f}({column})") if kind != "double" else "CAST(NULL AS VARCHAR)" for f in ("min", "max")]
+    return f"""SELECT '{column}' AS "column", '{kind}' AS dtype, count(*) AS rows, count(*) - count({column}) AS nulls, {moments},
+  {ends[0]} AS smallest, {ends[1]} AS largest FROM gaps"""
+
+
+@query("eda_overview", f"WITH {GAPS} " + " UNION ALL ".join(_overview_sql(c) for c in _INSPECTED))
+def eda_overview(spark, sf_dir):
+    table = rounded(profile.overview(sales_with_gaps(spark, sf_dir)), 4, ["mean", "std"])
+    # Sketched columns, and doubles as text, which engines write differently, are left to the tests.
+    whole = F.when(F.col("dtype") != "double", F.struct("smallest", "largest"))
+    return table.select("column", "dtype", "rows", "nulls", "mean", "std", whole["smallest"].alias("smallest"), whole["largest"].alias("largest"))
+
+
 @query("eda_summary_stats", f"""WITH {SALES}
 SELECT count(*) AS n_lines, count(DISTINCT order_id) AS total_orders, count(DISTINCT customer_id) AS total_customers,
        round(sum(sales), 2) AS total_sales, round(sum(profit), 2) AS total_profit,
