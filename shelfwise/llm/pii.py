@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
@@ -50,8 +51,12 @@ class Permutation:
         self.key = key
 
     def _round(self, kind: str, n: int, i: int, half: int) -> int:
-        said = f"{kind}/{n}/{i}/{half}".encode()
-        return int.from_bytes(blake2b(said, key=self.key, digest_size=16).digest(), "big")
+        said, bits = f"{kind}/{n}/{i}/{half}".encode(), n.bit_length() // 2 + 1
+        if bits <= 64:
+            return int.from_bytes(blake2b(said, key=self.key, digest_size=16).digest(), "big")
+        # As many blocks as make 64 bits more than the wider half has.
+        blocks = (blake2b(said + b"/%d" % b, key=self.key, digest_size=64).digest() for b in range((bits + 64) // 512 + 1))
+        return int.from_bytes(b"".join(blocks), "big")
 
     def _walk(self, kind: str, n: int, x: int, rounds: range, sign: int) -> int:
         low = 1 << ((n - 1).bit_length() + 1) // 2  # left half below ``high``, right half below ``low``
@@ -195,35 +200,45 @@ def readings(pattern: re.Pattern, text: str, found: re.Match) -> Iterator[re.Mat
             yield m
 
 
-def spans(text: str, permute: Permutation) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, pseudonym) of the personal data of a text, in order and without overlaps."""
-    taken: list[tuple[int, int, str, str]] = []
+Span = tuple[int, int, str, str]
+
 
-    def look(kind: str, pattern: re.Pattern, value: Callable, pos: int, end: int) -> None:
+def spans(text: str, permute: Permutation) -> list[Span]:
+    """(start, end, kind, pseudonym) of the personal data of a text, in order and without overlaps."""
+    def with_kind(known: list[Span], kind: str, pattern: re.Pattern, value: Callable, pos: int, end: int) -> list[Span]:
+        """``known``, in order, and the values of a kind that overlap none of them."""
+        starts, new = [s[0] for s in known], []
         while found := pattern.search(text, pos, end):
             pos = found.start() + 1  # a value may begin within what is none
             for m in readings(pattern, text, found):
-                if all(m.end() <= a or m.start() >= b for a, b, *_ in near) and (new := value(m, permute)) is not None:
-                    near.append((m.start(), m.end(), kind, new))
+                before = bisect_left(starts, m.end())
+                if before and known[before - 1][1] > m.start():
+                    continue
+                if (said := value(m, permute)) is not None:
+                    new.append((m.start(), m.end(), kind, said))
                     pos = m.end()
                     break
+        return sorted(known + new) if new else known
 
-    whole: list[tuple[int, int, str, str]] = []
-    near = whole
+    whole: list[Span] = []
     if "@" in text:
-        look("email", _EMAIL, _email, 0, len(text))
+        whole = with_kind(whole, "email", _EMAIL, _email, 0, len(text))
     for value in (_iban_of_country, _iban):
-        look("iban", _IBAN, value, 0, len(text))
+        whole = with_kind(whole, "iban", _IBAN, value, 0, len(text))
+    starts, found = [s[0] for s in whole], []
     for island in _ISLAND.finditer(text):
-        if island.end() - island.start() < SHORTEST:
-            continue
         a, b = island.span()
-        near = [s for s in whole if s[0] < b and s[1] > a]
-        known = len(near)
+        if b - a < SHORTEST:
+            continue
+        end = min(b + 2, len(text))
+        first = bisect_left(starts, a)
+        first -= bool(first) and whole[first - 1][1] > a
+        near = held = whole[first : bisect_left(starts, end)]
         for kind, pattern, value in _BY_DIGITS:
-            look(kind, pattern, value, a, min(b + 2, len(text)))
-        taken += near[known:]
-    return sorted(whole + taken)
+            near = with_kind(near, kind, pattern, value, a, end)
+        if near is not held:
+            found += [s for s in near if s[2] not in ("email", "iban")]
+    return sorted(whole + found)
 
 
 def pseudonymised(text: str, permute: Permutation) -> tuple[str, list[int]]:
