@@ -389,9 +389,9 @@ def descriptions(profile: DataFrame) -> DataFrame:
     middle = profile.agg(F.struct(*[F.median(c).alias(c) for c in ("recency", "frequency", "monetary")]).alias("m")).scalar()
     words = F.concat_ws(
         ", ",
-        F.when(F.col("recency") < middle["recency"], "Recent buyers").otherwise("Inactive buyers"),
-        F.when(F.col("frequency") > middle["frequency"], "Frequent").otherwise("Occasional"),
-        F.when(F.col("monetary") > middle["monetary"], "High-value").otherwise("Low-value"),
+        F.when(F.col("recency") < middle["recency"], "Bought lately").otherwise("Quiet for long"),
+        F.when(F.col("frequency") > middle["frequency"], "Orders often").otherwise("Orders rarely"),
+        F.when(F.col("monetary") > middle["monetary"], "Spends much").otherwise("Spends little"),
     )
     text = F.format_string("Cluster %d: %s (%d customers, %s%%)", "cluster", words, "size", F.col("percentage").cast("string"))
     return profile.select("cluster", text.alias("description"))

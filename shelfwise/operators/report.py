@@ -8,16 +8,16 @@ from shelfwise.functions.shape import numeric_columns, stacked, text_columns
 from shelfwise.functions.storage import cut
 from shelfwise.operators import profile
 
-# Sentences of the insight report (fixed values).
+# Sentences of the insight report.
 SEGMENT_ADVICE = {
-    "Champions": "Prioritize loyalty programs and exclusive offers",
-    "At Risk": "Implement win-back campaigns immediately",
-    "Lost": "Consider reactivation surveys",
+    "Champions": "keep them with rewards and early access",
+    "At Risk": "write to them before they are gone",
+    "Lost": "ask why they left",
 }
 GENERAL_ADVICE = [
-    "Recommendation: Focus marketing budget on Champions and Potential Loyalists",
-    "Recommendation: Use cross-sell rules to increase average order value",
-    "Recommendation: Regular monitoring of customer segments for early intervention",
+    "Spend on advertising to Champions and Potential Loyalists first",
+    "Show the partners of a rule next to the basket to raise its value",
+    "Compute the segments anew each month and look at who moved",
 ]
 
 
@@ -54,9 +54,9 @@ def eda_report(df: DataFrame) -> DataFrame:
 def eda_insights(df: DataFrame) -> DataFrame:
     """(seq, text): size of the table and number of duplicate rows."""
     rows = df.agg(F.count("*").alias("n")).select(
-        F.lit(1).alias("seq"), F.format_string(f"Dataset has %d rows and {len(df.columns)} columns", "n").alias("text"))
+        F.lit(1).alias("seq"), F.format_string(f"The table has %d rows in {len(df.columns)} columns", "n").alias("text"))
     return rows.unionByName(profile.duplicate_rows(df).select(
-        F.lit(2).alias("seq"), F.format_string("Found %d duplicate rows", "duplicates").alias("text")))
+        F.lit(2).alias("seq"), F.format_string("%d rows repeat another one", "duplicates").alias("text")))
 
 
 def _said(kind: str, seq: int, text: Column) -> list[Column]:
@@ -85,20 +85,20 @@ def actionable_insights(
     if rules is not None:
         best = rules.orderBy(F.desc("lift"), "antecedent", "consequent").limit(1)
         text = F.format_string(
-            "Cross-sell opportunity: Recommend %s when customers buy %s (lift: %.2f)",
+            "Offer %s next to %s (lift %.2f)",
             F.concat_ws(", ", "consequent"), F.concat_ws(", ", "antecedent"), "lift")
         tables.append(best.select(*_said("rule", 4, text)))
     if profiles is not None:
         for seq, column, words in (
-            (5, "monetary", "High-value segment (Cluster %d): Focus premium services"),
-            (6, "frequency", "Frequent buyers (Cluster %d): Implement subscription programs"),
+            (5, "monetary", "Cluster %d spends most: make it the premium offers"),
+            (6, "frequency", "Cluster %d orders most often: propose a subscription"),
         ):
             top = profiles.agg(F.min_by("cluster", F.struct(-F.col(column), F.col("cluster"))).alias("cluster"))
             tables.append(top.where("cluster IS NOT NULL").select(*_said("cluster", seq, F.format_string(words, "cluster"))))
     if forecasts is not None:
         best = forecasts.agg(F.min(F.struct("mae", "model")).alias("b")).where("b IS NOT NULL")
         tables.append(best.select(*_said("forecast", 7, F.format_string(
-            "Sales forecast model (%s) has MAE of %.2f", "b.model", "b.mae"))))
+            "The best forecast, %s, is off by %.2f on average", "b.model", "b.mae"))))
     session = spark or next(t for t in (rfm, rules, profiles, forecasts) if t is not None).sparkSession
     general = stacked(session.range(1), [(8 + i, "general", t) for i, t in enumerate(GENERAL_ADVICE)], ["seq", "kind", "text"])
     for table in tables:
@@ -114,26 +114,28 @@ def add_insight(insights: DataFrame, kind: str, text: str) -> DataFrame:
 
 def final_report(
     summary: DataFrame, insights: DataFrame, classification: DataFrame | None = None,
-    clustering: DataFrame | None = None, forecasting: DataFrame | None = None,
+    clustering: DataFrame | None = None, forecasting: DataFrame | None = None, actions: DataFrame | None = None,
 ) -> DataFrame:
-    """(section, seq, text): key figures, the first ten insights, and one score line per model.
+    """(section, seq, text): key figures, the first ten insights, one score line per model, and all recommended ``actions``.
 
-    Scores come as (model, value): macro F1, silhouette and MAE.
+    Scores come as (model, value): macro F1, silhouette and MAE. Actions are (seq, text), as from ``actionable_insights``.
     """
     figures = stacked(summary, [
-        ("summary", 1, F.format_string("Total Orders: %d", "total_orders")),
-        ("summary", 2, F.format_string("Total Customers: %d", "total_customers")),
-        ("summary", 3, F.concat(F.lit("Total Sales: $"), F.format_number("total_sales", 2))),
-        ("summary", 4, F.concat(F.lit("Total Profit: $"), F.format_number("total_profit", 2))),
+        ("summary", 1, F.format_string("Orders: %d", "total_orders")),
+        ("summary", 2, F.format_string("Customers: %d", "total_customers")),
+        ("summary", 3, F.concat(F.lit("Sales: $"), F.format_number("total_sales", 2))),
+        ("summary", 4, F.concat(F.lit("Profit: $"), F.format_number("total_profit", 2))),
     ], ["section", "seq", "text"])
     found = insights.orderBy("seq").limit(10).select(F.lit("findings").alias("section"), "seq", "text")
     report = figures.unionByName(found)
     for section, scores, words in (
-        ("classification", classification, "%s: F1=%.4f"),
-        ("clustering", clustering, "%s: Silhouette=%.4f"),
-        ("forecasting", forecasting, "%s: MAE=%.2f"),
+        ("classification", classification, "%s: macro F1 %.4f"),
+        ("clustering", clustering, "%s: silhouette %.4f"),
+        ("forecasting", forecasting, "%s: mean absolute error %.2f"),
     ):
         if scores is not None:
             report = report.unionByName(scores.select(
                 F.lit(section).alias("section"), F.lit(1).alias("seq"), F.format_string(words, "model", "value").alias("text")))
+    if actions is not None:
+        report = report.unionByName(actions.select(F.lit("recommendations").alias("section"), "seq", "text"))
     return report

@@ -137,9 +137,9 @@ def asc_rule_metrics(spark, sf_dir):
 
 @query("asc_insights", f"""WITH {_RULES}, sure AS (SELECT * FROM rules WHERE confidence >= {HIGH})
 SELECT 'lift' AS kind, CAST(rank AS INTEGER) AS rank,
-       printf('Strong association: %s → %s (lift: %.2f, confidence: %.2f%%)', {_A}, {_C}, lift, confidence * 100) AS text FROM {_best('lift', 5)}
+       printf('Bought together: %s → %s (%.2f times chance, in %.2f%% of the baskets)', {_A}, {_C}, lift, confidence * 100) AS text FROM {_best('lift', 5)}
 UNION ALL SELECT 'confidence', CAST(row_number() OVER (ORDER BY confidence DESC, antecedent, consequent) AS INTEGER) AS rank,
-       printf('High confidence combo: %s → %s (confidence: %.2f%%)', {_A}, {_C}, confidence * 100) FROM sure QUALIFY rank <= 3""")
+       printf('Nearly sure: %s → %s (%.2f%% of the baskets)', {_A}, {_C}, confidence * 100) FROM sure QUALIFY rank <= 3""")
 def asc_insights(spark, sf_dir):
     return basket.rule_insights(mined_rules(spark, sf_dir), high_confidence=HIGH)
 
@@ -151,6 +151,6 @@ UNION ALL SELECT 'summary', 2, 'avg_support', round(s, 6) FROM m
 UNION ALL SELECT 'summary', 3, 'avg_confidence', round(f, 6) FROM m
 UNION ALL SELECT 'summary', 4, 'avg_lift', round(l, 6) FROM m
 UNION ALL SELECT 'summary', 5, 'n_high_confidence', CAST(h AS DOUBLE) FROM m
-UNION ALL SELECT 'top_rules', CAST(rank AS INTEGER), {_A} || ' → ' || {_C}, round(lift, 6) FROM {_best('lift', 10)}""")
+{" ".join(f"UNION ALL SELECT 'top_rules_{m}', CAST(rank AS INTEGER), {_A} || ' → ' || {_C}, round({m}, 6) FROM {_best('lift', 10)}" for m in ("lift", "support", "confidence"))}""")
 def rep_association(spark, sf_dir):
     return rounded(basket.association_report(mined_rules(spark, sf_dir), high_confidence=HIGH), 6)

@@ -99,8 +99,8 @@ def clu_profiles(spark, sf_dir):
 _PROFILE = """prof AS (SELECT cluster, avg(recency) AS r, avg(frequency) AS f, avg(monetary) AS m, count(*) AS size,
   round_even(count(*) / (SELECT count(*) FROM numbered) * 100, 2) AS pct FROM numbered GROUP BY cluster),
 med AS (SELECT median(r) AS r, median(f) AS f, median(m) AS m FROM prof),
-descr AS (SELECT p.cluster, 'Cluster ' || p.cluster || ': ' || CASE WHEN p.r < med.r THEN 'Recent buyers' ELSE 'Inactive buyers' END || ', '
-  || CASE WHEN p.f > med.f THEN 'Frequent' ELSE 'Occasional' END || ', ' || CASE WHEN p.m > med.m THEN 'High-value' ELSE 'Low-value' END
+descr AS (SELECT p.cluster, 'Cluster ' || p.cluster || ': ' || CASE WHEN p.r < med.r THEN 'Bought lately' ELSE 'Quiet for long' END || ', '
+  || CASE WHEN p.f > med.f THEN 'Orders often' ELSE 'Orders rarely' END || ', ' || CASE WHEN p.m > med.m THEN 'Spends much' ELSE 'Spends little' END
   || ' (' || p.size || ' customers, ' || p.pct || '%)' AS description FROM prof p, med)"""
 
 

@@ -76,9 +76,9 @@ def rep_eda_json(spark, sf_dir):
 
 
 @query("rep_eda_insights", f"""WITH {GAPS}
-SELECT 1 AS seq, 'Dataset has ' || count(*) || ' rows and {len(_REPORTED)} columns' AS text FROM gaps
-UNION ALL SELECT 2, 'Found ' || ((SELECT count(*) FROM gaps) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(_REPORTED)} FROM gaps)))
-  || ' duplicate rows'""")
+SELECT 1 AS seq, 'The table has ' || count(*) || ' rows in {len(_REPORTED)} columns' AS text FROM gaps
+UNION ALL SELECT 2, ((SELECT count(*) FROM gaps) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(_REPORTED)} FROM gaps)))
+  || ' rows repeat another one'""")
 def rep_eda_insights(spark, sf_dir):
     return report.eda_insights(sales_with_gaps(spark, sf_dir, _REPORTED))
 
@@ -108,11 +108,11 @@ _POINT_CTES = clusters._POINTS[len(SALES):]
 
 @query("rep_insights", f"""WITH {SALES}{_POINT_CTES}{_RULE_CTES}, {clusters._PROFILE}, {_WEEKLY}
 {_advice_sql()}
-UNION ALL SELECT 4, 'rule', printf('Cross-sell opportunity: Recommend %s when customers buy %s (lift: %.2f)',
+UNION ALL SELECT 4, 'rule', printf('Offer %s next to %s (lift %.2f)',
   array_to_string(consequent, ', '), array_to_string(antecedent, ', '), lift) FROM {basket._best('lift', 1)}
-UNION ALL (SELECT 5, 'cluster', 'High-value segment (Cluster ' || cluster || '): Focus premium services' FROM prof ORDER BY m DESC, cluster LIMIT 1)
-UNION ALL (SELECT 6, 'cluster', 'Frequent buyers (Cluster ' || cluster || '): Implement subscription programs' FROM prof ORDER BY f DESC, cluster LIMIT 1)
-UNION ALL (SELECT 7, 'forecast', printf('Sales forecast model (%s) has MAE of %.2f', model, mae) FROM maes ORDER BY mae, model LIMIT 1)""")
+UNION ALL (SELECT 5, 'cluster', 'Cluster ' || cluster || ' spends most: make it the premium offers' FROM prof ORDER BY m DESC, cluster LIMIT 1)
+UNION ALL (SELECT 6, 'cluster', 'Cluster ' || cluster || ' orders most often: propose a subscription' FROM prof ORDER BY f DESC, cluster LIMIT 1)
+UNION ALL (SELECT 7, 'forecast', printf('The best forecast, %s, is off by %.2f on average', model, mae) FROM maes ORDER BY mae, model LIMIT 1)""")
 def rep_insights(spark, sf_dir):
     labelled = clusters.segmented(spark, sf_dir)
     return report.actionable_insights(
@@ -131,18 +131,20 @@ def rep_insights_text(spark, sf_dir):
 
 @query("rep_final", f"""WITH {SALES}{RFM[len(SALES):]}, {_WEEKLY}, {metrics._PREDICTIONS}{metrics._PER_CLASS}, {metrics._MACRO},
 advice AS ({_advice_sql()})
-SELECT 'summary' AS section, 1 AS seq, 'Total Orders: ' || count(DISTINCT order_id) AS text FROM sales
-UNION ALL SELECT 'summary', 2, 'Total Customers: ' || count(DISTINCT customer_id) FROM sales
-UNION ALL SELECT 'summary', 3, 'Total Sales: $' || format('{{:,.2f}}', round(sum(sales), 2)) FROM sales
-UNION ALL SELECT 'summary', 4, 'Total Profit: $' || format('{{:,.2f}}', round(sum(profit), 2)) FROM sales
+SELECT 'summary' AS section, 1 AS seq, 'Orders: ' || count(DISTINCT order_id) AS text FROM sales
+UNION ALL SELECT 'summary', 2, 'Customers: ' || count(DISTINCT customer_id) FROM sales
+UNION ALL SELECT 'summary', 3, 'Sales: $' || format('{{:,.2f}}', round(sum(sales), 2)) FROM sales
+UNION ALL SELECT 'summary', 4, 'Profit: $' || format('{{:,.2f}}', round(sum(profit), 2)) FROM sales
 UNION ALL SELECT 'findings', seq, text FROM advice
-UNION ALL SELECT 'classification', 1, printf('%s: F1=%.4f', model, f) FROM acc
-UNION ALL SELECT 'forecasting', 1, printf('%s: MAE=%.2f', model, mae) FROM maes""")
+UNION ALL SELECT 'recommendations', seq, text FROM advice
+UNION ALL SELECT 'classification', 1, printf('%s: macro F1 %.4f', model, f) FROM acc
+UNION ALL SELECT 'forecasting', 1, printf('%s: mean absolute error %.2f', model, mae) FROM maes""")
 def rep_final(spark, sf_dir):
     summary = profile.summary_stats(sales_lines(spark, sf_dir, ["order_id", "customer_id", "sales", "profit"]))
     f1 = classification_metrics(metrics.predictions(spark, sf_dir), by=["model"]).where("metric = 'f1_macro'")
+    advice = report.actionable_insights(rfm_table(spark, sf_dir))
     return report.final_report(
-        rounded(summary, 2), report.actionable_insights(rfm_table(spark, sf_dir)),
+        rounded(summary, 2), advice, actions=advice,
         classification=f1.select("model", "value"),
         forecasting=_maes(spark, sf_dir).select("model", F.col("mae").alias("value")),
     )
