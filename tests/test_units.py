@@ -234,7 +234,7 @@ def test_rules_have_two_item_consequents(spark):
     none, _ = basket.frequent_itemsets(df, 0.99)
     empty = basket.association_rules(none)
     assert empty.count() == 0
-    assert [r["text"] for r in basket.rule_insights(empty).collect()] == ["No significant association rules found."]
+    assert [r["text"] for r in basket.rule_insights(empty).collect()] == ["No rule passed the thresholds."]
 
 
 def _predictions(spark, truth, predicted):
