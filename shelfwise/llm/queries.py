@@ -81,6 +81,52 @@ def op5_secret_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def _kind_sql(place: int, kind: str, pattern: str, group: int, least: int) -> str:
+    pattern = pattern.replace("'", "''")
+    return f"""
+    SELECT key, {place} AS i, '{kind}' AS kind, e - length(w) AS s, e, v FROM (
+      SELECT key, w, v, CAST(sum(length(b) + coalesce(length(w), 0)) OVER (PARTITION BY key ORDER BY pos) AS BIGINT) AS e FROM (
+        SELECT key, unnest(range(len(b))) AS pos, unnest(b) AS b, unnest(w) AS w, unnest(v) AS v FROM (
+          SELECT key, string_split_regex(t, '{pattern}') AS b, regexp_extract_all(t, '{pattern}', 0) AS w, regexp_extract_all(t, '{pattern}', {group}) AS v
+          FROM docs WHERE regexp_matches(t, '{pattern}'))))
+    WHERE w IS NOT NULL AND length(v) >= {least}"""
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN = "|".join(_either_case(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+SQL["op5_secret_owners"] = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS key, doc_id, coalesce(source, '') AS owner, coalesce(lang, '') AS lang, coalesce(text, '') AS t FROM documents),
+base AS (
+  {_kind_sql(0, "assign", f"({_ASSIGN})" + secrets.KINDS["assign"][0].partition("))")[2], 2, 12)}
+  UNION ALL {_kind_sql(1, "access", secrets.KINDS["access"][0], 1, 18)}
+  UNION ALL {_kind_sql(2, "hex", secrets.KINDS["hex"][0], 1, 16)}),
+candidates AS (SELECT DISTINCT key, e - length(v) AS s, e, v, owner, lang FROM base JOIN docs USING (key)),
+spread AS (
+  SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT (owner, lang)) AS repositories FROM candidates GROUP BY v),
+judged AS (
+  SELECT key, s, e, owners, repositories,
+    CASE WHEN owners > {secrets.MAX_OWNERS} THEN 'example' WHEN len(list_distinct(string_split(v, ''))) >= {secrets.MIN_DISTINCT} THEN 'live' END AS kind
+  FROM candidates JOIN spread USING (v)),
+added AS (
+  SELECT key, count(*) FILTER (kind = 'live') AS n_live, count(*) FILTER (kind = 'example') AS n_example,
+    max(owners) AS max_owners, max(repositories) AS max_repositories FROM judged GROUP BY key),
+spans AS (
+  SELECT key, s, i, e, kind FROM base UNION ALL
+  SELECT key, s, CASE kind WHEN 'live' THEN 3 ELSE 4 END, e, kind FROM judged WHERE kind IS NOT NULL),
+listed AS (
+  SELECT key, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, i, e) FILTER (i < 3) AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, i, e) AS spans FROM spans GROUP BY key)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+  max_owners, max_repositories
+FROM docs LEFT JOIN listed USING (key) LEFT JOIN added USING (key)"""
+
+
 @query
 def op8_paragraph_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))

@@ -21,23 +21,40 @@ KINDS = {
 ADDED = ("live", "example")
 MAX_OWNERS = 2  # a live credential is held by so many owners at most
 MIN_DISTINCT = 8  # and shows so many different characters at least
+RUN = 128  # matches whose lengths are summed together
 
 
-def _matches(kind: str, text: Column) -> Column:
-    """Array of (start, end, value) of a kind's matches that are long enough; places count code points, ends are exclusive."""
+def _places(texts: DataFrame, kind: str) -> DataFrame:
+    """``texts`` with a column of the kind's name: an array of (s, e, v) of its matches that are long enough.
+
+    Places count code points, ends are exclusive. The lengths of the matches and of what lies between them are
+    summed in runs of RUN matches and then over the runs, so that the work is in proportion to the matches.
+    """
     pattern, group, least = KINDS[kind]
-    between = F.split(text, pattern)
-    whole, value = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    parts = F.arrays_zip(F.slice(between, 1, F.size(whole)).alias("b"), whole.alias("w"), value.alias("v"))
-    empty = F.array().cast("array<struct<s:int,e:int,v:string>>")
+    lengths = lambda strings: F.transform(strings, lambda x: F.char_length(x))
+    places = F.array().cast("array<struct<s:int,e:int>>")
 
     def add(state: Column, x: Column) -> Column:
-        start = state["at"] + F.char_length(x["b"])
-        end = start + F.char_length(x["w"])
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(F.struct(start.alias("s"), end.alias("e"), x["v"].alias("v")))).alias("found"))
+        start = state["at"] + x["b"]
+        end = start + x["w"]
+        return F.struct(end.alias("at"), F.concat(state["found"], F.array(F.struct(start.alias("s"), end.alias("e")))).alias("found"))
+
+    def add_run(state: Column, run: Column) -> Column:
+        return F.struct((state["at"] + run["at"]).alias("at"), F.concat(state["found"], F.array(state["at"])).alias("found"))
+
+    def moved(run: Column, by: Column) -> Column:
+        return F.transform(run["found"], lambda x: F.struct((x["s"] + by).alias("s"), (x["e"] + by).alias("e")))
 
-    walked = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("found")), add, lambda state: state["found"])
-    return F.filter(walked, lambda x: F.char_length(x["v"]) >= least)
+    # A step each, so that no expression is worked out twice.
+    cut_out = texts.withColumn("_w", lengths(F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)))).withColumn(
+        "_v", F.regexp_extract_all("_text", F.lit(pattern), F.lit(group))).withColumn("_b", lengths(F.split("_text", pattern)))
+    steps = cut_out.withColumn("_steps", F.zip_with(F.slice("_b", F.lit(1), F.size("_w")), "_w", lambda b, w: F.struct(b.alias("b"), w.alias("w"))))
+    runs = F.transform(F.sequence(F.lit(0), F.floor(F.size("_steps") / RUN).cast("int")), lambda i: F.aggregate(
+        F.slice("_steps", i * RUN + 1, F.lit(RUN)), F.struct(F.lit(0).alias("at"), places.alias("found")), add))
+    before = F.aggregate("_runs", F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("found")), add_run, lambda state: state["found"])
+    whole = steps.withColumn("_runs", runs).withColumn("_places", F.flatten(F.zip_with("_runs", before, moved)))
+    found = F.zip_with("_places", "_v", lambda x, v: F.struct(x["s"].alias("s"), x["e"].alias("e"), v.alias("v")))
+    return whole.select(*texts.columns, F.filter(found, lambda x: F.char_length(x["v"]) >= least).alias(kind))
 
 
 def _of_kind(kind: str) -> Column:
@@ -60,13 +77,14 @@ def scan(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = (
     texts count as empty: no spans, and the checksum of the empty text. A null owner or repository counts
     as one of its own. Rows are kept one for one; other columns are ignored.
     """
-    content = F.coalesce(docs[text].cast("string"), F.lit(""))
     picked = docs.select(docs[id].cast("long").alias("doc_id"), F.coalesce(docs[owner].cast("string"), F.lit("")).alias("owner"),
                          F.xxhash64(*[F.coalesce(docs[c].cast("string"), F.lit("")) for c in repository]).alias("repository"),
-                         *[_matches(k, content).alias(k) for k in KINDS])
+                         F.coalesce(docs[text].cast("string"), F.lit("")).alias("_text"))
+    for kind in KINDS:
+        picked = _places(picked, kind)
     base = F.concat(*[_of_kind(k) for k in KINDS])
     values = F.concat(*[F.transform(k, lambda x: F.struct((x["e"] - F.char_length(x["v"])).alias("s"), x["e"].alias("e"), x["v"].alias("v"))) for k in KINDS])
-    judged = F.transform(F.array_distinct(values), lambda x: F.struct(
+    judged = F.transform(values, lambda x: F.struct(
         x["s"].alias("s"), x["e"].alias("e"), F.sha2(x["v"], 256).alias("hash"),
         (F.size(F.array_remove(F.array_distinct(F.split(x["v"], "")), "")) >= MIN_DISTINCT).alias("random")))
     # One pass over the texts; everything after works on the few candidates. The key tells equal ids apart.
@@ -81,7 +99,7 @@ def scan(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = (
     verdict = F.when(F.col("owners") > max_owners, "example").when(F.col("random"), "live")
     place = F.when(F.col("owners") > max_owners, len(KINDS) + 1).otherwise(len(KINDS))
     added = known.groupBy("key").agg(
-        F.collect_list(F.when(verdict.isNotNull(), F.struct("s", place.alias("i"), "e", verdict.alias("kind")))).alias("added"),
+        F.collect_set(F.when(verdict.isNotNull(), F.struct("s", place.alias("i"), "e", verdict.alias("kind")))).alias("added"),
         F.max("owners").alias("max_owners"), F.max("repositories").alias("max_repositories"))
     none = F.array().cast("array<struct<s:int,i:int,e:int,kind:string>>")
     whole = rows.join(added, "key", "left").withColumn("added", F.coalesce("added", none))
