@@ -26,11 +26,16 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest id of each group of near copies of operator 10 (five words, similarity 0.8).
 
+    Rows that share an id are one document, of which the row with the smallest text (null first) stays.
     Documents without an id are in no group and stay.
     """
-    groups = jaccard.similar_groups(docs, words=5, percent=80)
+    groups = cut(jaccard.similar_groups(docs, words=5, percent=80).where("doc_id is not null"))
     rest = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("copy")).distinct()
-    return docs.join(rest, docs["doc_id"] == rest["copy"], "left_anti")
+    kept = docs.join(rest, docs["doc_id"] == rest["copy"], "left_anti")
+    repeated = groups.where("component_id = doc_id").groupBy(F.col("doc_id").alias("again")).agg(F.count("*").alias("n")).where("n > 1").select("again")
+    several = kept.join(repeated, kept["doc_id"] == repeated["again"], "left_semi")
+    first = several.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct("text", F.xxhash64(*docs.columns))).alias("row"))
+    return kept.join(repeated, kept["doc_id"] == repeated["again"], "left_anti").unionByName(first.select("row.*"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
