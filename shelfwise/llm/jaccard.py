@@ -9,7 +9,8 @@ of common parts of texts come last, sets that reach the similarity share one of
 that share one are a cell. In each cell the points whose bound allows the similarity are joined, by
 the cell's smallest set where that does it, else by R-tree; what hangs together is a family. Family
 members are verified on their sets against the smallest, which settles copies of one text in one
-pass, and those not connected then search the family's R-tree and are verified too.
+pass. Those not connected then search the family's R-tree, on points only, at about one group per
+shingle; the sets of those that find each other are fetched and verified too.
 """
 
 from __future__ import annotations
@@ -29,25 +30,36 @@ from shelfwise.llm.texts import NOT_SPACE, Words, distinct, shingles, text_bytes
 GROUPS = 256
 BUCKET_KEYS = 100_000  # keys that meet in one group of the candidate search
 CELL_MEMBERS = 4_000  # points of a cell that one task searches against each other, times two
-CELL_ROWS = 50_000  # points of several cells that one task works through
+CELL_ROWS = 16_000  # points of several cells that one task works through
 HEADS = 6  # members of an unsettled family that all others are verified against
 BLOCK_SHINGLES = 1_500_000  # shingles of a family that one task holds on either side
+WIDE = 4  # blocks whose points, without their sets, one task holds on either side
+FINEST = 1 << 14  # groups of the points of the largest sets
 LEAF, FANOUT = 16, 8
 BROADCAST_IDS = 1_000_000
 COMMON_BITS = 20
 COMMON_LEAST, COMMON_TIMES = 16, 8  # a hash range is common in a task from so many documents, and times the mean
 
 
-def point(found: np.ndarray) -> np.ndarray:
-    """Count vector of a sorted set; a group is a range of the hash."""
-    edges = np.arange(1, GROUPS, dtype=np.uint64) << np.uint64(64 - GROUPS.bit_length() + 1)
+def point(found: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    """Count vector of a sorted set; a group is a range of the hash, of which there are a power of two."""
+    edges = np.arange(1, groups, dtype=np.uint64) << np.uint64(64 - groups.bit_length() + 1)
     counts = np.diff(np.concatenate([[0], np.searchsorted(found, edges), [len(found)]]))
     return counts.astype(np.uint8 if counts.max() < 1 << 8 else np.uint32)
 
 
-def points(raw: list[bytes]) -> np.ndarray:
+def points(raw: list[bytes], groups: int = GROUPS) -> np.ndarray:
     """Count vectors as one array from their bytes."""
-    return np.array([np.frombuffer(r, np.uint8 if len(r) == GROUPS else np.uint32) for r in raw], np.int32).reshape(len(raw), GROUPS)
+    out = np.empty((len(raw), groups), np.int32)
+    for i, r in enumerate(raw):
+        out[i] = np.frombuffer(r, np.uint8 if len(r) == groups else np.uint32)
+    return out
+
+
+def fine_groups(size: int, percent: int) -> int:
+    """Groups of the points in a size class: about one per shingle of its smallest sets."""
+    least = (100.1 / percent) ** max(size, 0)
+    return min(FINEST, max(GROUPS, 1 << int(np.ceil(np.log2(min(least, FINEST))))))
 
 
 def first_shingles(found: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
@@ -254,6 +266,51 @@ def _verified(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(common * (100 + percent) >= (F.size("sa") + F.size("sb")).cast("long") * percent).select("a", "b")
 
 
+def _fine_points(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows with n and the point of their size class in place of the shingles."""
+    kept = [f for f in rows.schema.fields if f.name != "shingles"]
+
+    def pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in (whole.slice(i, 500) for i in range(0, whole.num_rows, 500)):
+                sets = [s.values.to_numpy(zero_copy_only=False).view(np.uint64) for s in batch.column("shingles")]
+                groups = [fine_groups(c, percent) for c in batch.column("size").to_pylist()]
+                yield table(**{f.name: batch.column(f.name) for f in kept}, n=pa.array([len(s) for s in sets], pa.int64()),
+                            point=blobs([point(s, g).tobytes() for s, g in zip(sets, groups)]))
+
+    return rows.mapInArrow(pointed, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", n long, point binary")
+
+
+def _surviving(percent: int):
+    """A function that finds the strays and others of different parts whose points allow the similarity, by the blocks in which they meet.
+
+    The R-tree holds the points summed to GROUPS groups; what it returns is held against the finer points.
+    """
+    def surviving(group):
+        family, size = group.column("family")[0].as_py(), group.column("size")[0].as_py()
+        doc, part, block, n, stray = (group.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "part", "block", "n", "stray"))
+        stray = stray.astype(bool)
+        groups = fine_groups(size, percent)
+        fine = points(group.column("point").to_pylist(), groups)
+        rough = fine.reshape(len(doc), GROUPS, groups // GROUPS).sum(axis=2, dtype=np.int32)
+        others, met = np.flatnonzero(~stray), np.zeros((len(doc), WIDE), bool)  # row x block of the other side, of which WIDE are here
+        tree = CountTree(rough[others], n[others]) if len(others) else None
+        for i in np.flatnonzero(stray) if len(others) else ():
+            near = others[tree.search(rough[i], n[i], percent)]
+            near = near[part[near] != part[i]]
+            near = near[np.minimum(fine[near], fine[i]).sum(axis=1) >= needed(n[near], n[i], percent)]
+            met[i, block[near] % WIDE] = True
+            met[near, block[i] % WIDE] = True
+        row, at = np.nonzero(met)
+        mine, wide = block[row], {c: group.column(c)[0].as_py() * WIDE for c in ("wide_i", "wide_j")}
+        return pa.table({"family": pa.array([family] * len(row), pa.int64()), "size": pa.array([size] * len(row), pa.int32()),
+                         "doc_id": pa.array(doc[row], pa.int64()), "part": pa.array(part[row], pa.int64()), "stray": pa.array(stray[row]),
+                         "i": pa.array(np.where(stray[row], mine, wide["wide_i"] + at), pa.int32()),
+                         "j": pa.array(np.where(stray[row], wide["wide_j"] + at, mine), pa.int32())})
+
+    return surviving
+
+
 def _searching(percent: int):
     """A function that connects the parts of a family that links between its strays and other sets connect.
 
@@ -345,18 +402,27 @@ def _links(docs: DataFrame, families: DataFrame, words: int, percent: int) -> Da
     size = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.1 / percent))).cast("int")
     near = F.explode(F.array(*[F.col("size") + i for i in (-1, 0, 1)]))
     sized = members.withColumn("size", size)
-    blocks = lambda total: F.ceil(total / BLOCK_SHINGLES).cast("int")
-    strays_in = sized.where("part <> main").withColumn("size", near).groupBy("family", "size").agg(blocks(F.sum("n")).alias("stray_blocks"))
-    open_families = cut(sized.groupBy("family", "size").agg(blocks(F.sum("n")).alias("blocks")).join(strays_in, ["family", "size"]))
+    blocks = F.ceil(F.sum(F.greatest("n", F.lit(GROUPS))) / BLOCK_SHINGLES).cast("int")
+    strays_in = sized.where("part <> main").withColumn("size", near).groupBy("family", "size").agg(blocks.alias("stray_blocks"))
+    open_families = cut(sized.groupBy("family", "size").agg(blocks.alias("blocks")).join(strays_in, ["family", "size"]))
     if not open_families.limit(1).count():
         return links
-    wanted = sets.join(sized.select("doc_id", "part", "main", "size"), "doc_id")
-    row = ["family", "size", "doc_id", "part", "shingles"]
-    at = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    strays = wanted.where("part <> main").withColumn("size", near).join(open_families, ["family", "size"]).select(*row, F.lit(True).alias("stray"), at("stray_blocks").alias("i"), every("blocks").alias("j"))
-    others = wanted.join(open_families, ["family", "size"]).select(*row, F.lit(False).alias("stray"), at("blocks").alias("j"), every("stray_blocks").alias("i"))
-    found = strays.unionByName(others).groupBy("family", "size", "i", "j").applyInArrow(_searching(percent), "a long, b long")
+    at = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int").alias("block")
+    wide = lambda n: (F.ceil(F.col(n) / WIDE) - 1).cast("int").alias("last")
+    row = ["family", "size", "doc_id", "part"]
+    strays = sized.where("part <> main").withColumn("size", near).join(open_families, ["family", "size"])
+    others = sized.join(open_families, ["family", "size"])
+    # Who takes part is settled on ids alone; the sets are read once and not shuffled, only their points are.
+    roles = cut(strays.select(*row, F.lit(True).alias("stray"), at("stray_blocks"), wide("blocks")).union(
+        others.select(*row, F.lit(False).alias("stray"), at("blocks"), wide("stray_blocks"))))
+    pointed = _fine_points(sets.select("doc_id", "shingles").join(_few(roles), "doc_id"), percent)
+    own, every = F.floor(F.col("block") / WIDE).cast("int"), F.explode(F.sequence(F.lit(0), F.col("last")))
+    meeting = pointed.withColumn("other", every).withColumn("wide_i", F.when(F.col("stray"), own).otherwise(F.col("other"))).withColumn(
+        "wide_j", F.when(F.col("stray"), F.col("other")).otherwise(own))
+    survivors = cut(meeting.groupBy("family", "size", "wide_i", "wide_j").applyInArrow(
+        _surviving(percent), "family long, size int, doc_id long, part long, stray boolean, i int, j int"))
+    found = sets.select("doc_id", "shingles").join(_few(survivors), "doc_id").groupBy("family", "size", "i", "j").applyInArrow(
+        _searching(percent), "a long, b long")
     return links.union(found)
 
 
