@@ -158,7 +158,8 @@ def _stars(firsts: DataFrame) -> DataFrame:
     """(key, a, b): the cells of more than one set, each other set of a cell with a smaller one of it.
 
     Keys travel packed. Sets of one batch that share a key are joined to the smallest of them there,
-    which alone goes on, so that a key most sets share costs one entry per batch.
+    which alone goes on, so that a key most sets share costs one entry per batch. The pairs found
+    there travel in equal parts with all buckets of the batch.
     """
     keys_in = firsts.agg((F.sum(F.octet_length("keys")) / 8).cast("long")).first()[0] or 0
     buckets = max(1, -(-keys_in // BUCKET_KEYS))
@@ -177,10 +178,10 @@ def _stars(firsts: DataFrame) -> DataFrame:
                 order = np.argsort(bucket, kind="stable")
                 key, doc, bucket = key[order], doc[order], bucket[order]
                 at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-                ends, rest = [*at[1:], len(key)], [b""] * (len(at) - 1)  # pairs found here travel with the first bucket
+                ends = [*at[1:], len(key)]
                 yield table(bucket=pa.array(bucket[at], pa.int64()), keys=blobs([key[i:j].tobytes() for i, j in zip(at, ends)]),
                             docs=blobs([doc[i:j].tobytes() for i, j in zip(at, ends)]),
-                            **{n: blobs([p.tobytes(), *rest]) for n, p in zip("kab", pairs)})
+                            **{n: blobs([p.tobytes() for p in np.array_split(pair, len(at))]) for n, pair in zip("kab", pairs)})
 
     def met(group):
         keys, docs, *before = (np.frombuffer(b"".join(group.column(c).to_pylist()), t) for c, t in (
