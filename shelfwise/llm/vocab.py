@@ -19,12 +19,13 @@ from operator import add
 from tokenizers import Tokenizer
 
 # Forms of white space that send a text to the careful way of cutting.
-_ODD_SPACE = [b"  ", b"\n\n", b" \n", b"\n ", *(bytes([c]) for c in (9, 11, 12, 13, 28, 29, 30, 31)), b"\xc2\x85", b"\xc2\xa0",
-              b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
+_ODD_CONTROLS = bytes((9, 11, 12, 13, 28, 29, 30, 31))
+_ODD_PAIRS = [b"  ", b"\n\n", b" \n", b"\n "]
+_ODD_WIDE = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
 _BORDER = re.compile(r"(?<=\S)(?= \S)")
 _TAIL = b".,;:!?$%&*#"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 650_000
 # Spark runs a task per core; threads of the library's own would only compete with them.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -34,9 +35,16 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+def _odd_space(text: bytes) -> bool:
+    if text[:1].isspace() or text[-1:].isspace() or len(text.translate(None, _ODD_CONTROLS)) < len(text):
+        return True
+    pairs = _ODD_PAIRS if b"\n" in text else _ODD_PAIRS[:1]
+    return any(odd in text for odd in (pairs if text.isascii() else pairs + _ODD_WIDE))
+
+
 def chunks(text: bytes) -> list[bytes]:
     """Keys of the pieces of UTF-8 text whose token ids, one after the other, are those of the text; see ``literal``."""
-    if text[:1].isspace() or text[-1:].isspace() or any(odd in text for odd in _ODD_SPACE):
+    if _odd_space(text):
         return [b"\xff" + c.encode() for c in _BORDER.split(text.decode())]
     return (b"\xff" + text.replace(b"\n", b" \n")).split(b" ") if text else []
 
@@ -82,24 +90,40 @@ class ChunkCache:
         return out
 
     def _learn(self, new: set[bytes]) -> None:
-        known, cores, parts = self.known, set(), {}
+        known, ask, words, pairs, parts = self.known, set(), set(), [], {}
+        mark = b"" if self.folded else b"\xff"
         for chunk in new:
+            if chunk.isalpha():
+                words.add(chunk)
+                continue
+            core = chunk.rstrip(_TAIL)
+            if core.isalpha():  # a word of ASCII letters and punctuation after it, the most frequent case
+                tail = mark + chunk[len(core) :]
+                if core not in known:
+                    words.add(core)
+                if tail not in known:
+                    ask.add(tail)
+                pairs.append((chunk, core, tail))
+                continue
             head, body = b"", chunk
             if chunk[:1] == b"\n" and len(chunk) > 1:  # a line break before other than white space is a piece of its own
                 head, body = b"\xff\n", b"\xff" + chunk[1:]
-            core = body.rstrip(_TAIL)
+                core = body.rstrip(_TAIL)
             if core != body and core and (core[-1] in _LETTERS or core[-1] > 127 and plain_word(core if self.folded else literal(core))):
-                keys = [core, (b"" if self.folded else b"\xff") + body[len(core) :]]
+                keys = [core, mark + body[len(core) :]]
             else:
                 keys = [body]
             if head:
                 keys.insert(0, head)
             if len(keys) > 1:
                 parts[chunk] = keys
-            cores.update(keys)
-        ask = [c for c in cores if c not in known]
-        # Most are words of ASCII letters, which a space goes before.
-        known.update(zip(ask, self.encode(ask if self.folded else [b" " + c if c.isalpha() else literal(c) for c in ask])))
+            ask.update([k for k in keys if k not in known])
+        if words:
+            known.update(zip(words, self.encode(list(words) if self.folded else [b" " + c for c in words])))
+        if ask:
+            known.update(zip(ask, self.encode(list(ask) if self.folded else [literal(c) for c in ask])))
+        for chunk, core, tail in pairs:
+            known[chunk] = known[core] + known[tail]
         for chunk, keys in parts.items():
             known[chunk] = reduce(add, map(known.get, keys))
 
@@ -119,9 +143,11 @@ _LOWER_WORD = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 def plain_word(chunk: bytes, pattern: re.Pattern = _WORD) -> str | None:
     """A word of Latin letters in the byte alphabet, None for any other chunk."""
-    if pattern is _WORD and chunk[:1] == b" " and chunk[1:].isalpha():
-        return _SPACE + chunk[1:].decode()
-    if chunk.isalpha() and (pattern is _WORD or chunk.islower()):
+    if pattern is _WORD and chunk[:1] == b" ":
+        word = chunk[1:]
+        if word.isalpha():
+            return _SPACE + word.decode()
+    elif chunk.isalpha() and (pattern is _WORD or chunk.islower()):
         return chunk.decode()
     return chunk.decode("latin-1").translate(_ALPHABET) if pattern.fullmatch(chunk.decode()) else None
 
