@@ -79,15 +79,17 @@ def summary_stats(df: DataFrame) -> DataFrame:
 
     Lines are first folded to one row per (order, customer), so the distinct counts run over
     the small table. Columns that are absent give 0, or null dates; orders fall back to lines.
+    Amounts are summed as whole numbers, exactly up to 2**53, plus small rests, so cents do not depend on the order.
     """
     has = set(df.columns)
     keys = [c for c in ("order_id", "customer_id") if c in has]
     dated = "order_date" in has
-    amount = lambda c: F.coalesce(F.sum(c), F.lit(0.0)) if c in has else F.sum(F.lit(0.0))
+    whole = lambda c: F.rint(F.col(c).cast("double")) if c in has else F.lit(0.0)
+    rest = lambda c: F.nanvl(F.col(c).cast("double") - whole(c), F.lit(0.0)) if c in has else F.lit(0.0)
+    total = lambda c: F.coalesce(F.sum(c) + F.sum(f"{c}_rest"), F.lit(0.0)).alias(f"total_{c}")
     folded = df.groupBy(*keys).agg(
         F.count("*").alias("lines"),
-        amount("sales").alias("sales"),
-        amount("profit").alias("profit"),
+        *[F.sum(part(c)).alias(c + end) for c in ("sales", "profit") for part, end in ((whole, ""), (rest, "_rest"))],
         (F.min("order_date") if dated else F.lit(None).cast("timestamp")).alias("first"),
         (F.max("order_date") if dated else F.lit(None).cast("timestamp")).alias("last"),
     )
@@ -96,8 +98,8 @@ def summary_stats(df: DataFrame) -> DataFrame:
         lines.alias("n_lines"),
         (F.count_distinct("order_id") if "order_id" in has else lines).alias("total_orders"),
         (F.count_distinct("customer_id") if "customer_id" in has else F.lit(0)).cast("long").alias("total_customers"),
-        F.coalesce(F.sum("sales"), F.lit(0.0)).alias("total_sales"),
-        F.coalesce(F.sum("profit"), F.lit(0.0)).alias("total_profit"),
+        total("sales"),
+        total("profit"),
         F.min("first").alias("first_order_date"),
         F.max("last").alias("last_order_date"),
     )
