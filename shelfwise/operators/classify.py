@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from math import sqrt
+from functools import reduce
+from math import ceil, sqrt
+from multiprocessing.pool import ThreadPool
 
 import pyarrow as pa
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import ElementwiseProduct, IndexToString, StandardScaler, StringIndexer, VectorAssembler
@@ -21,6 +24,8 @@ from shelfwise.operators import metrics
 
 MODELS = ("LogisticRegression", "DecisionTree", "RandomForest")
 LEAST_TO_SPLIT = 5  # rows of a tree's node that may still be split
+TASK_ROWS = 50_000  # training rows of a task: every task holds counts for all nodes of a pass, so more tasks are more work
+PARALLEL_FITS = 6  # models fitted at the same time
 
 
 def _shuffled(df: DataFrame, key: str, target: str, seed: int) -> DataFrame:
@@ -43,6 +48,17 @@ def stratified_folds(df: DataFrame, key: str, target: str, folds: int = 5, seed:
     return placed.withColumn("fold", F.pmod(F.col("_place") - 1, F.lit(folds)).cast("int")).select(*df.columns, "fold")
 
 
+def _dealt(df: DataFrame, rows: int) -> DataFrame:
+    """The rows in even partitions: a written table of narrow rows is one small file, whose passes one core would make alone."""
+    return df.repartition(max(1, min(df.sparkSession.sparkContext.defaultParallelism, ceil(rows / TASK_ROWS))))
+
+
+def side_by_side(spark: SparkSession, work: Callable, items: Sequence) -> list:
+    """``work`` of every item, several at the same time: the passes of one fit are too short to fill the cores."""
+    with ThreadPool(min(len(items), PARALLEL_FITS)) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
+
+
 def _classifier(name: str, rows: int, seed: int, max_depth: int | None, n_estimators: int):
     common = {"featuresCol": "features", "labelCol": "label", "predictionCol": "prediction"}
     if name == "LogisticRegression":
@@ -114,11 +130,19 @@ def pruned(model, spark: SparkSession, least: int = LEAST_TO_SPLIT):
     forest = "nodeData" in nodes.columns
 
     def prune(tree: pa.Table) -> pa.Table:
-        rows = tree.to_pylist()
-        kept = _pruned_nodes([r["nodeData"] if forest else r for r in rows], least)
-        return pa.Table.from_pylist([{"treeID": rows[0]["treeID"], "nodeData": n} for n in kept] if forest else kept, tree.schema)
+        table = pa.Table.from_struct_array(tree["nodeData"].combine_chunks()) if forest else tree
+        shape = table.select(["id", "rawCount", "leftChild", "rightChild"]).to_pylist()
+        kept = _pruned_nodes([dict(n, row=i) for i, n in enumerate(shape)], least)
+        rows, leaf = [n["row"] for n in kept], next(i for i, n in enumerate(shape) if n["leftChild"] < 0)
+        unsplit = [leaf if n["leftChild"] < 0 else n["row"] for n in kept]  # leaves have the gain and split of any leaf
+        columns = {c: table[c].take(pa.array(unsplit if c in ("gain", "split") else rows)) for c in table.column_names}
+        columns |= {c: pa.array([n[c] for n in kept], table.schema.field(c).type) for c in ("id", "leftChild", "rightChild")}
+        nodes = pa.table(columns, table.schema)
+        return pa.table({"treeID": tree["treeID"].take(pa.array(rows)), "nodeData": nodes.to_struct_array()}, tree.schema) if forest else nodes
 
     by = ["treeID"] if forest else []
+    if forest:  # a number of partitions that is given is not merged again
+        nodes = nodes.repartition(min(model.getNumTrees, spark.sparkContext.defaultParallelism), "treeID")
     nodes.groupBy(*by).applyInArrow(prune, nodes.schema).write.parquet(f"{cutback}/data")
     spark.read.text(f"{grown}/metadata").coalesce(1).write.text(f"{cutback}/metadata")
     if forest:
@@ -133,6 +157,7 @@ def train(
     """Fits labels in alphabetical order, scaling by the population deviation, and the classifier; trees are ``pruned``."""
     features = list(features)
     rows = train_rows.count()
+    train_rows = _dealt(train_rows.select(*features, target), rows).persist(StorageLevel.MEMORY_AND_DISK)
     stages = [
         StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc"),
         VectorAssembler(inputCols=features, outputCol="assembled" if scale else "features"),
@@ -150,6 +175,7 @@ def train(
         IndexToString(inputCol="prediction", outputCol="y_pred", labels=indexer.labels),
     ]
     fitted = Pipeline(stages=stages).fit(train_rows)
+    train_rows.unpersist()
     if model != "LogisticRegression":
         fitted = PipelineModel([*fitted.stages[:-2], pruned(fitted.stages[-2], train_rows.sparkSession), fitted.stages[-1]])
     return Fitted(model, features, fitted)
@@ -167,12 +193,13 @@ def cross_validate(
 ) -> DataFrame:
     """(model, fold, f1_macro) for every stratified fold; see ``cv_summary``."""
     folded = cut(stratified_folds(train_rows.select(key, *features, target), key, target, folds))
-    scored = None
-    for fold in range(folds):
+
+    def scored(fold: int) -> DataFrame:
         fitted = train(folded.where(F.col("fold") != fold), features, target, model, **options)
-        part = fitted.predict(folded.where(F.col("fold") == fold), key, target).drop("proba").withColumn("fold", F.lit(fold))
-        scored = part if scored is None else scored.unionByName(part)
-    f1 = metrics.classification_metrics(scored, by=["fold"]).where("metric = 'f1_macro'")
+        return fitted.predict(folded.where(F.col("fold") == fold), key, target).drop("proba").withColumn("fold", F.lit(fold))
+
+    parts = side_by_side(train_rows.sparkSession, scored, range(folds))
+    f1 = metrics.classification_metrics(reduce(DataFrame.unionByName, parts), by=["fold"]).where("metric = 'f1_macro'")
     return f1.select(F.lit(model).alias("model"), "fold", F.col("value").alias("f1_macro"))
 
 

@@ -89,3 +89,23 @@ def test_pruned_nodes_by_hand():
     tree = [node(0, 11, 1, 4), node(1, 4, 2, 3), node(2, 2), node(3, 2), node(4, 7, 5, 6), node(5, 2), node(6, 5)]
     got = [(n["id"], n["rawCount"], n["leftChild"], n["rightChild"], n["split"]["featureIndex"]) for n in classify._pruned_nodes(tree, 5)]
     assert got == [(0, 11, 1, 2, 0), (1, 4, -1, -1, -1), (2, 7, 3, 4, 0), (3, 2, -1, -1, -1), (4, 5, -1, -1, -1)]
+
+
+def test_training_rows_are_dealt_out(spark, tmp_path, monkeypatch):
+    """A table written as one small file is trained on by more than one task, and folds are fitted at the same time."""
+    spark.range(400).selectExpr("id", "IF(id % 2 = 0, 'even', 'odd') AS kind", "id % 2 + rand(3) AS a").coalesce(1).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    assert rows.rdd.getNumPartitions() == 1
+    monkeypatch.setattr(classify, "TASK_ROWS", 100)
+    assert classify._dealt(rows, 400).rdd.getNumPartitions() == 4
+    assert classify._dealt(rows, 1_000_000).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    active, most = [], []
+
+    def work(i):
+        active.append(i)
+        spark.range(3).count()
+        most.append(len(set(active)))
+        return i * i
+
+    assert classify.side_by_side(spark, work, range(5)) == [0, 1, 4, 9, 16]
+    assert max(most) > 1
