@@ -7,13 +7,10 @@ integer ``cluster`` column. What is known per cluster (centres, sizes) is a tabl
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, sqrt
-from multiprocessing.pool import ThreadPool
+from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -21,11 +18,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfwise.functions.lookup import left_lookup
 from shelfwise.functions.quantiles import exact_quantiles
 from shelfwise.functions.storage import cut
+from shelfwise.operators.kmeans import cluster_of, fit_many
 from shelfwise.operators.partners import best_other
 
 MICRO_CLUSTERS = 500
 FEW_CLUSTERS = 200  # so many centres are held against every row; beyond, a grid is used
-PARALLEL_STARTS = 8  # k-means runs submitted at the same time
 LINKAGES = ("ward", "average", "complete")
 
 
@@ -45,25 +42,8 @@ def fit_kmeans(
     A run stops when the centres' squared shifts are below 1e-4 of the mean feature variance.
     Clusters are numbered in the order of their centres, so numbers do not depend on the run.
     """
-    vectors = _vectors(df, features).persist(StorageLevel.MEMORY_AND_DISK)
-    variances = vectors.agg(*[F.var_pop(f) for f in features]).first()
-    tolerance = sqrt(1e-4 * max(sum(v or 0.0 for v in variances) / len(variances), 1e-12) / k)
-
-    @inheritable_thread_target(df.sparkSession)
-    def run(start: int):
-        return KMeans(
-            k=k, maxIter=max_iter, tol=tolerance, seed=seed + start, featuresCol="_vector", predictionCol="_found"
-        ).fit(vectors)
-
-    with ThreadPool(min(n_init, PARALLEL_STARTS)) as pool:
-        runs = pool.map(run, range(n_init))
-    best = min(runs, key=lambda m: m.summary.trainingCost)
-    vectors.unpersist()
-    centres = [tuple(c) for c in best.clusterCenters()]
-    number = {c: i for i, c in enumerate(sorted(set(centres)))}
-    renumbered = F.array(*[F.lit(number[c]) for c in centres])
-    clustered = best.transform(_vectors(df, features)).withColumn("cluster", renumbered[F.col("_found")])
-    return clustered.drop("_vector", "_found"), float(best.summary.trainingCost)
+    centres, inertia = fit_many(df, features, [k], n_init=n_init, max_iter=max_iter, seed=seed)[k]
+    return df.withColumn("cluster", cluster_of(features, centres)), inertia
 
 
 def lloyd(
@@ -356,9 +336,11 @@ def find_k(
     """(k, inertia, silhouette, davies_bouldin, calinski_harabasz, best): best marks the first highest silhouette."""
     df = cut(df.select(key, *features))
     rows = []
+    found = fit_many(df, features, list(k_range), n_init=n_init, seed=seed) if clustering == "kmeans" else {}
     for k in k_range:
         if clustering == "kmeans":
-            clustered, inertia = fit_kmeans(df, features, k, n_init=n_init, seed=seed)
+            centres, inertia = found[k]
+            clustered = df.withColumn("cluster", cluster_of(features, centres))
         elif clustering == "hac":
             clustered, inertia = fit_hac(df, key, features, k, n_init=n_init, seed=seed), 0.0
         else:
