@@ -222,3 +222,27 @@ def test_plan_for_many_clusters_gathers_none(spark, monkeypatch):
     df, names = points(spark, rng.normal(size=(40, 2)), np.arange(40) % 10)
     for table in (cluster.davies_bouldin(df, names), cluster.silhouette_squared(df, names)):
         assert "collect_list" not in table._jdf.queryExecution().toString()
+
+
+def test_exact_silhouette_measures_a_pair_of_blocks_once(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    labels = np.concatenate([np.zeros(150, int), rng.integers(-1, 30, 150), [40]])
+    xs = rng.normal(0, 1, (301, 2)) + 1e4 + labels[:, None] % 3
+    df, names = points(spark, np.vstack([xs, xs[:40]]), np.concatenate([labels, labels[:40]]))
+    monkeypatch.setattr(cluster, "MOST_BLOCKS", 5)
+    monkeypatch.setattr(cluster, "TILE", (7, 16))
+    got = cluster.silhouette_exact(df, "id", names, block_rows=10)
+    assert got.first()[0] == pytest.approx(brute_silhouette(np.vstack([xs, xs[:40]]), np.concatenate([labels, labels[:40]])), abs=1e-6)
+    plan = got._jdf.queryExecution().toString()
+    tasks = max(int(part.split(")")[0]) for part in plan.split("RoundRobinPartitioning(")[1:])
+    assert tasks <= 15  # pairs of five blocks; before, the square of one block for ten rows
+    assert cluster.silhouette_exact(df.where("cluster = 0"), "id", names).first()[0] is None
+    assert cluster.silhouette_exact(df.where("false"), "id", names).first()[0] is None
+
+
+def test_exact_silhouette_of_many_clusters(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "MOST_SUMS", 2000)  # blocks of 20 points
+    rng = np.random.default_rng(8)
+    xs, labels = rng.normal(size=(200, 3)), rng.permutation(np.arange(200) % 100)
+    df, names = points(spark, xs, labels)
+    assert cluster.silhouette_exact(df, "id", names).first()[0] == pytest.approx(brute_silhouette(xs, labels))
