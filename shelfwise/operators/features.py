@@ -16,6 +16,7 @@ from shelfwise.functions.storage import cut
 SEGMENTS = [
     "Champions", "Loyal Customers", "Potential Loyalists", "At Risk", "Lost", "New Customers", "Promising",
 ]
+CUSTOMER_BUCKETS = 8  # tasks that share the lines of one product
 
 
 def _total(column: str) -> Column:
@@ -186,20 +187,34 @@ def customer_features(df: DataFrame) -> DataFrame:
 
 
 def product_features(df: DataFrame) -> DataFrame:
-    """One row per (product_id, product_name)."""
-    return (
+    """One row per (product_id, product_name).
+
+    Lines are added up per order, which needs no shuffle where they were joined by order, then once dealt out by product
+    and ``CUSTOMER_BUCKETS`` groups of customers, so that a product with most lines is shared by several tasks. Counting
+    distinct orders and customers of the lines themselves would shuffle three rows for each.
+    """
+    keys, parts = ["product_id", "product_name"], ["sales", "profit", "quantity", "discount"]
+    sums = [f(c).alias(f"_{name}_{c}") for c in parts for name, f in (("sum", F.sum), ("n", F.count))]
+    added = [s for c in parts for s in (f"_sum_{c}", f"_n_{c}")]
+    per_order = (
         df.where(F.col("product_id").isNotNull() & F.col("product_name").isNotNull())
-        .groupBy("product_id", "product_name")
+        .groupBy(*keys, "order_id").agg(*sums, F.collect_set("customer_id").alias("_customers"))
+    )
+    first = F.coalesce(F.col("_place"), F.lit(0)) == 0  # an order of several customers counts once
+    per_customer = (
+        per_order.select("*", F.posexplode_outer("_customers").alias("_place", "customer_id"))
+        .select(*keys, "customer_id", F.pmod(F.xxhash64("customer_id"), F.lit(CUSTOMER_BUCKETS)).alias("_bucket"),
+                (first & F.col("order_id").isNotNull()).cast("long").alias("_orders"), *[F.when(first, F.col(c)).alias(c) for c in added])
+        .repartition(*keys, "_bucket")
+        .groupBy(*keys, "_bucket", "customer_id").agg(*[F.sum(c).alias(c) for c in ("_orders", *added)])
+    )
+    total = lambda c: _total(f"_sum_{c}").alias(f"total_{c}")
+    mean = lambda c: F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_n_{c}")).alias(f"avg_{c}")
+    return (
+        per_customer.groupBy(*keys)
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("customer_id").alias("unique_customers"),
-            _total("sales").alias("total_sales"),
-            F.avg("sales").alias("avg_sales"),
-            _total("profit").alias("total_profit"),
-            F.avg("profit").alias("avg_profit"),
-            _total("quantity").alias("total_quantity"),
-            F.avg("quantity").alias("avg_quantity"),
-            F.avg("discount").alias("avg_discount"),
+            F.sum("_orders").alias("total_orders"), F.count("customer_id").alias("unique_customers"),
+            *[f(c) for c in ("sales", "profit", "quantity") for f in (total, mean)], mean("discount"),
         )
         .withColumn("profit_margin", F.try_divide("total_profit", "total_sales"))
     )
