@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from shelfwise.functions.storage import cut
 from shelfwise.operators import clean, encode
 from shelfwise.plans.common import GAPS, rounded, sales_with_gaps
 from shelfwise.plans.registry import SALES, query
@@ -19,7 +20,8 @@ def _dated(df):
 @query("cln_drop_sparse_columns", f"""WITH {GAPS}
 SELECT {_ID_SQL}, round(discount, 4) AS discount, ship_mode FROM gaps""")
 def cln_drop_sparse_columns(spark, sf_dir):
-    return _dated(clean.drop_sparse_columns(sales_with_gaps(spark, sf_dir, [*_ID, "discount", "ship_mode", "remark"])))
+    lines = cut(sales_with_gaps(spark, sf_dir, [*_ID, "discount", "ship_mode", "remark"]))  # joined once, read twice
+    return _dated(clean.drop_sparse_columns(lines))
 
 
 def _fill_query(strategy, value_sql):
@@ -27,7 +29,7 @@ def _fill_query(strategy, value_sql):
 SELECT {_ID_SQL}, round(coalesce(discount, ({value_sql.format(c="discount")})), 4) AS discount,
        round(coalesce(profit, ({value_sql.format(c="profit")})), 4) AS profit FROM gaps""")
     def run(spark, sf_dir):
-        lines = sales_with_gaps(spark, sf_dir, [*_ID, "discount", "profit"])
+        lines = cut(sales_with_gaps(spark, sf_dir, [*_ID, "discount", "profit"]))
         return rounded(_dated(clean.handle_missing(lines, numeric_strategy=strategy)))
 
 
@@ -41,11 +43,11 @@ _fill_query("mode", _MODE_SQL)
 SELECT {_ID_SQL}, coalesce(ship_mode, ({_MODE_SQL.format(c="ship_mode")})) AS by_mode,
        coalesce(ship_mode, 'Unknown') AS by_constant FROM gaps""")
 def cln_fill_categorical(spark, sf_dir):
-    lines = sales_with_gaps(spark, sf_dir, [*_ID, "ship_mode"])
-    both = lines.withColumnsRenamed({"ship_mode": "by_mode"}).withColumn("by_constant", F.col("by_mode"))
-    filled = clean.handle_missing(both.drop("by_constant"), categorical_strategy="mode")
-    constant = clean.handle_missing(both.drop("by_mode"), categorical_strategy="constant")
-    return _dated(filled.join(constant, _ID))
+    lines = cut(sales_with_gaps(spark, sf_dir, [*_ID, "ship_mode"]))  # joined once, read by every pass
+    both = lines.select(*_ID, F.col("ship_mode").alias("by_mode"), F.struct("ship_mode").alias("_kept"))
+    filled = clean.handle_missing(both, categorical_strategy="mode")  # leaves the struct alone
+    constant = filled.withColumn("by_constant", F.col("_kept.ship_mode")).drop("_kept")
+    return _dated(clean.handle_missing(constant, categorical_strategy="constant"))
 
 
 def _dedup_query(name, keep, condition):
@@ -234,7 +236,7 @@ def cln_report(spark, sf_dir):
     SELECT ship_mode, min(({_ORDER_SQL})) AS k FROM gaps WHERE ship_mode IS NOT NULL GROUP BY ship_mode))
 SELECT {_ID_SQL}, g.ship_mode, coalesce(code, -1) AS ship_mode_encoded FROM gaps g LEFT JOIN codes c ON g.ship_mode = c.ship_mode""")
 def enc_label(spark, sf_dir):
-    lines = sales_with_gaps(spark, sf_dir, [*_ID, "ship_mode"])
+    lines = cut(sales_with_gaps(spark, sf_dir, [*_ID, "ship_mode"]))  # joined once, read for the codes and the rows
     return _dated(encode.encode_categorical(lines, ["ship_mode"], "label", ROW_KEY))
 
 
@@ -251,7 +253,7 @@ _MODES = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 @query("enc_onehot", f"WITH {GAPS} SELECT {_ID_SQL}, ship_mode, " + ", ".join(
     f"coalesce(ship_mode = '{m}', false) AS \"ship_mode_{m}\"" for m in _MODES) + " FROM gaps")
 def enc_onehot(spark, sf_dir):
-    lines = sales_with_gaps(spark, sf_dir, [*_ID, "ship_mode"])
+    lines = cut(sales_with_gaps(spark, sf_dir, [*_ID, "ship_mode"]))  # joined once, read for the codes and the rows
     return _dated(encode.encode_categorical(lines, ["ship_mode"], "onehot"))
 
 
