@@ -59,9 +59,9 @@ def column_info(df: DataFrame, samples: int = 3) -> DataFrame:
         F.count_if(present).alias("distinct_values"),
     )
     shown = F.when(F.col("num").isNotNull(), F.format_string("%.2f", "num")).otherwise(F.coalesce(F.col("whole").cast("string"), "txt"))
-    # Nulls are ranked last rather than filtered before, so that both uses share one count.
+    # Nulls are ranked last rather than filtered before, and ``n``, which decides nothing, is kept: so both uses share one count.
     smallest = (
-        top_per_group(counts, ["column"], [F.desc(present), F.col("whole"), F.col("num"), F.col("txt")], samples)
+        top_per_group(counts, ["column"], [F.desc(present), F.col("whole"), F.col("num"), F.col("txt"), F.col("n")], samples)
         .where(present)
         .groupBy("column")
         .agg(F.array_sort(F.collect_list(F.struct("rank", shown.alias("text")))).alias("texts"))

@@ -57,3 +57,11 @@ def test_overview_sketches(spark):
     assert got["category"]["mean"] is None and got["category"]["q50"] is None
     nothing = {r["column"]: r for r in profile.overview(lines.where("false")).collect()}
     assert nothing["sales"]["rows"] == 0 and nothing["sales"]["mean"] is None and np.all([r["nulls"] == 0 for r in nothing.values()])
+
+
+def test_values_are_counted_once(spark):
+    plan = profile.column_info(sales_with_gaps(spark, SF_DIR))
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    final = text[: text.index("== Initial Plan ==")]
+    assert final.count("Generate inline") == 1 and "ReusedExchange" in final
