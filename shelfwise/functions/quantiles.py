@@ -51,8 +51,12 @@ def exact_quantiles(
     *,
     small: int = SMALL,
     rank_error: float = RANK_ERROR,
+    written: bool = False,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of the non-null values of each column."""
+    """Linearly interpolated quantiles of the non-null values of each column.
+
+    The long columns are passed over several times, so they are written first unless ``df`` reads a ``written`` table.
+    """
     columns, probabilities = list(columns), [float(p) for p in probabilities]
     if not columns:
         return {}
@@ -68,7 +72,8 @@ def exact_quantiles(
     if long:
         places = {c: [(counts[c] - 1) * p for p in probabilities] for c in long}
         zones = [_Zone(c, None, None, 0, counts[c], tuple(places[c])) for c in long]
-        found = _values_at(cut(df.select(*long)), zones, small, rank_error)  # passed over several times
+        table = df.select(*long)
+        found = _values_at(table if written else cut(table), zones, small, rank_error)
         for c in long:
             ends = [(found[c, floor(x)], found[c, ceil(x)], x - floor(x)) for x in places[c]]
             result[c] = [low + (high - low) * part for low, high, part in ends]

@@ -105,18 +105,17 @@ def summary_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str] | None = None, *, written: bool = False) -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max) with exact quartiles.
 
-    Times are described as seconds since the epoch.
+    Times are described as seconds since the epoch. ``written``: ``df`` reads a written table, so no copy is made.
     """
     columns = list(columns or [*numeric_columns(df), *time_columns(df)])
     times = set(time_columns(df))
     # Written once: exact quartiles take several passes, which need not go back to the joins behind the rows.
-    numbers = cut(df.select(*[
-        (epoch_seconds(c) if c in times else F.col(c).cast("double")).alias(c) for c in columns
-    ]))
-    quartiles = exact_quantiles(numbers, columns, [0.25, 0.5, 0.75])
+    numbers = df.select(*[(epoch_seconds(c) if c in times else F.col(c).cast("double")).alias(c) for c in columns])
+    numbers = numbers if written else cut(numbers)
+    quartiles = exact_quantiles(numbers, columns, [0.25, 0.5, 0.75], written=True)
     stats = numbers.agg(*[
         f(c).alias(f"{c}__{name}")
         for c in columns
@@ -175,7 +174,8 @@ def category_counts(df: DataFrame, column: str, top_n: int | None = 10) -> DataF
 def top_values(df: DataFrame, k: int = 5) -> DataFrame:
     """(column, distinct_values, rank, value, n): most frequent values of every text column."""
     counts = value_counts(df, text_columns(df)).where(F.col("txt").isNotNull())
-    distinct = counts.groupBy("column").agg(F.count("*").alias("distinct_values"))
+    # ``n`` is never 0; looked at, it stays in the counts, so that both uses share them.
+    distinct = counts.groupBy("column").agg(F.count_if(F.col("n") > 0).alias("distinct_values"))
     return (
         top_per_group(counts, ["column"], [F.desc("n"), F.col("txt")], k)
         .join(distinct, "column")

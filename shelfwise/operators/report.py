@@ -35,7 +35,7 @@ def eda_report(df: DataFrame) -> DataFrame:
     kind = {c: "numeric" for c in numeric_columns(df)} | {c: "categorical" for c in text_columns(df)}
     kinds = F.create_map(*[F.lit(x) for c, k in kind.items() for x in (c, k)])
     shape = missing.agg(F.max("rows").alias("n_rows"), F.count("*").alias("n_columns"))
-    stats = profile.describe(df, numeric_columns(df))
+    stats = profile.describe(df, numeric_columns(df), written=True)
     names = [c for c in stats.columns if c != "column"]
     top = profile.top_values(df, 5)
     return (

@@ -6,8 +6,10 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from shelfwise.operators import profile
+from shelfwise.functions import quantiles
+from shelfwise.operators import profile, report
 from shelfwise.plans.common import sales_with_gaps
+from shelfwise.sources.tables import NUMERIC, TEXT
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -65,3 +67,21 @@ def test_values_are_counted_once(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     final = text[: text.index("== Initial Plan ==")]
     assert final.count("Generate inline") == 1 and "ReusedExchange" in final
+
+
+def test_report_counts_values_once_and_writes_them_once(spark, monkeypatch):
+    wrote = []
+    for module in (profile, quantiles, report):
+        monkeypatch.setattr(module, "cut", lambda df, cut=module.cut: wrote.append(df.columns) or cut(df))
+    monkeypatch.setattr(quantiles.exact_quantiles, "__kwdefaults__", {**quantiles.exact_quantiles.__kwdefaults__, "small": 500})
+    lines = sales_with_gaps(spark, SF_DIR, [*NUMERIC, *TEXT])
+    plan = report.eda_report(lines)
+    assert [*NUMERIC, *TEXT] in wrote and [*NUMERIC] not in wrote
+    top = profile.top_values(lines)
+    top.collect()
+    text = top._jdf.queryExecution().executedPlan().toString()
+    final = text[: text.index("== Initial Plan ==")]
+    assert final.count("Generate inline") == 1 and "ReusedExchange" in final
+    quartiles = {r["column"]: r["number"] for r in plan.where("name = 'q50'").collect()}
+    medians = lines.toPandas()[NUMERIC].median()
+    assert all(quartiles[c] == pytest.approx(medians[c]) for c in NUMERIC)
