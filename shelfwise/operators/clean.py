@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from shelfwise.functions.lookup import modes
+from shelfwise.functions.lookup import BROADCAST_ROWS, modes
 from shelfwise.functions.quantiles import exact_quantiles
 from shelfwise.functions.storage import cut
 from shelfwise.functions.shape import numeric_columns, stacked, text_columns
@@ -27,11 +27,12 @@ def drop_sparse_columns(df: DataFrame, threshold: float = 0.3) -> DataFrame:
 
 
 def handle_missing(
-    df: DataFrame, numeric_strategy: str = "median", categorical_strategy: str = "mode", threshold: float = 0.3
+    df: DataFrame, numeric_strategy: str = "median", categorical_strategy: str = "mode", threshold: float = 0.3,
+    *, written: bool = False,
 ) -> DataFrame:
     """Drops sparse columns, then fills numbers by mean, median or mode and text by mode or 'Unknown'.
 
-    Dates are never filled. Whole-number columns with gaps become doubles.
+    Dates are never filled. Whole-number columns with gaps become doubles. ``written``: ``df`` reads a written table.
     """
     ratios = _null_ratios(df)
     df = df.drop(*[c for c, ratio in ratios.items() if ratio > threshold])
@@ -43,7 +44,7 @@ def handle_missing(
     if numeric_strategy == "mean" and numbers:
         fills.update(df.agg(*[F.avg(c).alias(c) for c in numbers]).first().asDict())
     elif numeric_strategy == "median":
-        fills.update({c: q[0] for c, q in exact_quantiles(df, numbers, [0.5]).items()})
+        fills.update({c: q[0] for c, q in exact_quantiles(df, numbers, [0.5], written=written).items()})
     elif numbers:
         found = modes(df, numbers)
         fills.update({c: found.get(c, 0.0) for c in numbers})
@@ -84,6 +85,23 @@ def drop_duplicates(
     return lone.select("row.*").select(*columns)
 
 
+def first_of_each(df: DataFrame, subset: Sequence[str] | None, order: Sequence[str]) -> DataFrame:
+    """``drop_duplicates`` to the first row, for rows of a written table: only those that may be duplicates are moved.
+
+    Equal keys have equal hashes, so a row whose hash occurs once stays where it is. With more than ``BROADCAST_ROWS``
+    hashes that occur again, all rows are grouped and written.
+    """
+    keyed = df.withColumn("_hash", F.xxhash64(*(subset or df.columns)))
+    again = cut(keyed.groupBy("_hash").agg(F.count("*").alias("n")).where("n > 1").select("_hash"))
+    n = again.count()
+    if n > BROADCAST_ROWS:
+        return cut(drop_duplicates(df, subset, "first", order))
+    if not n:
+        return df
+    part = lambda how: keyed.join(F.broadcast(again), "_hash", how).select(*df.columns)
+    return part("left_anti").unionByName(cut(drop_duplicates(part("left_semi"), subset, "first", order)))
+
+
 def duplicates_removed(df: DataFrame, subset: Sequence[str] | None = None, keep: str | bool = "first") -> DataFrame:
     """(duplicates_removed): how many rows ``drop_duplicates`` takes away."""
     n = F.col("n")
@@ -234,8 +252,8 @@ def preprocess(
     dedup_subset: Sequence[str] | None = ("order_id", "product_id"),
 ) -> DataFrame:
     """Missing values, duplicates, IQR clipping, date parts, label codes and standard scaling in turn."""
-    df = handle_missing(cut(df))  # the statistics of the gaps read it several times
-    df = cut(drop_duplicates(df, dedup_subset, "first", order))  # read again by every statistic below
+    df = handle_missing(cut(df), written=True)  # read again by every statistic
+    df = first_of_each(df, dedup_subset, order)
     if outlier_cols:
         df = outliers_iqr(df, outlier_cols)
     if date_cols:
@@ -254,8 +272,8 @@ def cleaning_report(
 ) -> DataFrame:
     """(metric, name, value): what each stage of ``preprocess`` up to the encoding did."""
     df = cut(df)
-    filled = handle_missing(df)
-    unique = cut(drop_duplicates(filled, dedup_subset, "first", order))
+    filled = handle_missing(df, written=True)
+    unique = first_of_each(filled, dedup_subset, order)
     clipped = outliers_iqr(unique, outlier_cols)
     encoded = [c for c in categorical_cols if c in clipped.columns]
     one = df.sparkSession.range(1)

@@ -3,7 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
-from shelfwise.operators import features
+from shelfwise.operators import clean, features
+from shelfwise.plans.common import sales_with_gaps
+from shelfwise.sources.tables import ROW_KEY
 from test_scans import SF_DIR, line_scans
 
 
@@ -30,3 +32,24 @@ def test_products_with_orders_of_several_customers_and_gaps(spark):
     assert (a["total_orders"], a["unique_customers"], a["total_sales"], a["total_quantity"]) == (3, 4, 22.0, 9.0)
     assert a["avg_sales"] == pytest.approx(22 / 6) and a["avg_profit"] == pytest.approx(7 / 6) and a["avg_discount"] == pytest.approx(0.1)
     assert (c["total_orders"], c["unique_customers"], c["total_sales"], c["avg_sales"]) == (1, 0, 0.0, None)
+
+
+@pytest.mark.parametrize("many", [False, True])
+def test_only_possible_duplicates_are_moved(spark, monkeypatch, many):
+    written = []
+    monkeypatch.setattr(clean, "cut", lambda df, cut=clean.cut: written.append(df.count()) or cut(df))
+    if many:
+        monkeypatch.setattr(clean, "BROADCAST_ROWS", 1)
+    nan = float("nan")
+    rows = [(i, "x", float(i), i) for i in range(500)]
+    rows += [(7, "x", 7.0, -1), (None, "b", 0.0, 3), (None, "b", -0.0, 2), (9000, None, 0.0, 5), (1, "x", nan, 8), (1, "x", nan, 9)]
+    df = spark.createDataFrame(rows, "a long, b string, c double, at long").repartition(5)
+    keys = ["a", "b", "c"]
+    got = sorted(map(str, clean.first_of_each(df, keys, ["at"]).collect()))
+    assert got == sorted(map(str, clean.drop_duplicates(df, keys, "first", ["at"]).collect())) and len(got) == 503
+    assert many or max(written) < 10
+    assert clean.first_of_each(df, ["at", "a"], ["at"]).count() == len(rows)
+    lines = sales_with_gaps(spark, SF_DIR, ["order_id", "line_number", "product_id", "supplier_id", "ship_date", "order_date", "ship_mode", "sales", "profit"])
+    written.clear()
+    clean.preprocess(lines, ["sales"], ["ship_mode"], ["order_date"], ["profit"], order=ROW_KEY).count()
+    assert many or sum(n > 1000 for n in written) == 1
