@@ -46,3 +46,25 @@ def test_one_point_and_equal_points(spark):
     df, names = table(spark, np.ones((5, 2)))
     centres, inertia = kmeans.fit_many(df, names, [3], n_init=2)[3]
     assert centres.tolist() == [[1.0, 1.0]] and inertia == 0
+
+
+def test_starts_of_all_runs_take_four_jobs_over_all_points(spark, monkeypatch):
+    passes, round_, draw = [], kmeans.one_round, kmeans.draw
+    monkeypatch.setattr(kmeans, "one_round", lambda packed, runs: passes.append(len(runs)) or round_(packed, runs))
+    monkeypatch.setattr(kmeans, "draw", lambda packed, runs, *more: passes.append(len(runs)) or draw(packed, runs, *more))
+    rng = np.random.default_rng(7)
+    xs = np.vstack([rng.normal(c, 0.05, (700, 2)) for c in ([0, 0], [6, 0], [0, 6])])
+    df, names = table(spark, xs)
+    packed = df.repartition(3).select(*names).mapInArrow(kmeans.pack, "xs array<double>").cache()
+    found = kmeans.starts(packed, [(k, i) for k in (2, 3) for i in range(5)], 2, 1)
+    assert passes == [10] * 4 and [len(f) for f in found] == [2] * 5 + [3] * 5
+    for centres in found[5:]:  # far groups of points each get their start
+        assert np.array(sorted(centres.round().tolist())).tolist() == [[0, 0], [0, 6], [6, 0]]
+    far = kmeans.draw(packed, [np.array([[0.0, 0.0]])] * 2, [50, 1], 2, [1, 1])
+    assert len(far[0]) == 50 and (far[0].max(1) > 4).all() and len(np.unique(far[0], axis=0)) == 50
+
+
+def test_points_without_a_place_are_refused(spark):
+    df, names = table(spark, np.array([[1, 2], [np.nan, 1]]))
+    with pytest.raises(ValueError, match="1 of 2"):
+        kmeans.fit_many(df, names, [2], n_init=1)
