@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from shelfwise.functions.lookup import BROADCAST_ROWS
 from shelfwise.functions.quantiles import exact_quantiles
 from shelfwise.functions.storage import cut
 from shelfwise.functions.shape import (
@@ -14,7 +15,16 @@ from shelfwise.functions.shape import (
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """(duplicates): rows that repeat an earlier identical row."""
+    """(duplicates): rows that repeat an earlier identical row.
+
+    Equal rows have equal hashes, so only rows whose hash occurs again are grouped whole; ``df`` is read twice. With more
+    than ``BROADCAST_ROWS`` hashes that occur again, all rows are grouped.
+    """
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind]
+    keyed = df.withColumn("_hash", F.xxhash64(F.lit(0), *hashed))
+    again = cut(keyed.groupBy("_hash").agg(F.count("*").alias("n")).where("n > 1").select("_hash"))
+    if again.count() <= BROADCAST_ROWS:
+        df = keyed.join(F.broadcast(again), "_hash", "left_semi").select(*df.columns)
     repeats = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
     return repeats.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
@@ -27,6 +37,7 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def inspect(df: DataFrame) -> DataFrame:
     """(section, name, value): shape, types, missing values and duplicate rows."""
+    df = cut(df)  # read again by every section
     as_text = lambda c: F.col(c).cast("string")
     missing = null_counts(df)
     types = dict(df.dtypes)

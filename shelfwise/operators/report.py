@@ -53,6 +53,7 @@ def eda_report(df: DataFrame) -> DataFrame:
 
 def eda_insights(df: DataFrame) -> DataFrame:
     """(seq, text): size of the table and number of duplicate rows."""
+    df = cut(df)  # read again to find the duplicates
     rows = df.agg(F.count("*").alias("n")).select(
         F.lit(1).alias("seq"), F.format_string(f"The table has %d rows in {len(df.columns)} columns", "n").alias("text"))
     return rows.unionByName(profile.duplicate_rows(df).select(

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from shelfwise.operators import clean, features
+from shelfwise.operators import clean, features, profile
 from shelfwise.plans.common import sales_with_gaps
 from shelfwise.sources.tables import ROW_KEY
 from test_scans import SF_DIR, line_scans
@@ -53,3 +53,14 @@ def test_only_possible_duplicates_are_moved(spark, monkeypatch, many):
     written.clear()
     clean.preprocess(lines, ["sales"], ["ship_mode"], ["order_date"], ["profit"], order=ROW_KEY).count()
     assert many or sum(n > 1000 for n in written) == 1
+
+
+@pytest.mark.parametrize("most, some", [(100, True), (1, False)])
+def test_only_rows_that_may_repeat_are_grouped_whole(spark, monkeypatch, most, some):
+    monkeypatch.setattr(profile, "BROADCAST_ROWS", most)
+    rows = [(i, float(i), str(i)) for i in range(199)] + [(5, None, "x")] * 3 + [(6, 0.0, None), (6, -0.0, None)]
+    df = spark.createDataFrame(rows, "a long, b double, c string").repartition(3)
+    counted = profile.duplicate_rows(df)
+    assert counted.first()[0] == 3
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert ("LeftSemi" in plan) == some
