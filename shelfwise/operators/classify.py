@@ -20,12 +20,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from shelfwise.functions.lookup import left_lookup
 from shelfwise.functions.ordered import row_numbers
 from shelfwise.functions.storage import cut, scratch_path
-from shelfwise.operators import metrics
+from shelfwise.operators import forest, metrics
 
 MODELS = ("LogisticRegression", "DecisionTree", "RandomForest")
+FOREST_DEPTH, FOREST_BINS = 15, 128
+LEAST_IN_LEAF = 2  # rows of a tree's leaf
 LEAST_TO_SPLIT = 5  # rows of a tree's node that may still be split
 TASK_ROWS = 50_000  # training rows of a task: every task holds counts for all nodes of a pass, so more tasks are more work
 PARALLEL_FITS = 6  # models fitted at the same time
+GROWN_ROWS = 50_000, 10_000_000  # training rows beyond the first, up to the second: a forest's trees are grown by ``forest``, in tasks that hold all rows
 
 
 def _shuffled(df: DataFrame, key: str, target: str, seed: int) -> DataFrame:
@@ -66,10 +69,10 @@ def _classifier(name: str, rows: int, seed: int, max_depth: int | None, n_estima
         return LogisticRegression(
             family="multinomial", maxIter=1000, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False, **common)
     if name == "DecisionTree":
-        return DecisionTreeClassifier(maxDepth=max_depth or 10, minInstancesPerNode=2, maxBins=256, seed=seed, **common)
+        return DecisionTreeClassifier(maxDepth=max_depth or 10, minInstancesPerNode=LEAST_IN_LEAF, maxBins=256, seed=seed, **common)
     if name == "RandomForest":
         return RandomForestClassifier(
-            numTrees=n_estimators, maxDepth=max_depth or 15, minInstancesPerNode=2, maxBins=128,
+            numTrees=n_estimators, maxDepth=max_depth or FOREST_DEPTH, minInstancesPerNode=LEAST_IN_LEAF, maxBins=FOREST_BINS,
             featureSubsetStrategy="sqrt", seed=seed, **common)
     raise ValueError(f"model must be one of {MODELS}")
 
@@ -95,8 +98,11 @@ class Fitted:
         self.pipeline.write().overwrite().save(path)
 
     @staticmethod
-    def load(path: str, name: str = "loaded") -> Fitted:
-        """Reads a saved pipeline; the feature names are those of its assembler."""
+    def load(path: str, name: str = "loaded") -> Fitted | forest.Forest:
+        """Reads a saved pipeline, whose assembler has the feature names, or a saved ``Forest``."""
+        spark = SparkSession.active()
+        if forest.Forest.saved_in(spark, path):
+            return forest.Forest.load(spark, path, name)
         pipeline = PipelineModel.load(path)
         return Fitted(name, list(pipeline.stages[1].getInputCols()), pipeline)
 
@@ -153,10 +159,20 @@ def pruned(model, spark: SparkSession, least: int = LEAST_TO_SPLIT):
 def train(
     train_rows: DataFrame, features: Sequence[str], target: str, model: str = "RandomForest", *,
     scale: bool = True, seed: int = 42, max_depth: int | None = None, n_estimators: int = 100,
-) -> Fitted:
-    """Fits labels in alphabetical order, scaling by the population deviation, and the classifier; trees are ``pruned``."""
+) -> Fitted | forest.Forest:
+    """Fits labels in alphabetical order, scaling by the population deviation, and the classifier; trees are ``pruned``.
+
+    Forests on many rows (``GROWN_ROWS``) are grown tree by tree in tasks, by the same rules and without the scaling, which moves no split.
+    """
     features = list(features)
     rows = train_rows.count()
+    if model == "RandomForest" and GROWN_ROWS[0] < rows <= GROWN_ROWS[1]:
+        narrow = train_rows.select(*features, target)
+        indexer = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc").fit(narrow)
+        if len(indexer.labels) <= forest.MOST_CODES:
+            return forest.fit(
+                indexer.transform(narrow), features, "label", indexer.labels, model, trees=n_estimators, depth=max_depth or FOREST_DEPTH,
+                bins=FOREST_BINS, least_leaf=LEAST_IN_LEAF, least_split=LEAST_TO_SPLIT, seed=seed)
     train_rows = _dealt(train_rows.select(*features, target), rows).persist(StorageLevel.MEMORY_AND_DISK)
     stages = [
         StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc"),
@@ -209,10 +225,12 @@ def cv_summary(folds: DataFrame) -> DataFrame:
     return metrics.long_metrics(table)
 
 
-def feature_importance(fitted: Fitted, spark, top_n: int | None = None) -> DataFrame:
+def feature_importance(fitted: Fitted | forest.Forest, spark, top_n: int | None = None) -> DataFrame:
     """(feature, importance), largest first: impurity importances, or mean absolute coefficients over the classes."""
-    stage = fitted.pipeline.stages[-2]
-    if hasattr(stage, "featureImportances"):
+    stage = None if isinstance(fitted, forest.Forest) else fitted.pipeline.stages[-2]
+    if stage is None:
+        values = fitted.importances()
+    elif hasattr(stage, "featureImportances"):
         values = stage.featureImportances.toArray()
     else:
         values = abs(stage.coefficientMatrix.toArray()).mean(axis=0)
