@@ -28,7 +28,7 @@ LEAST_IN_LEAF = 2  # rows of a tree's leaf
 LEAST_TO_SPLIT = 5  # rows of a tree's node that may still be split
 TASK_ROWS = 50_000  # training rows of a task: every task holds counts for all nodes of a pass, so more tasks are more work
 PARALLEL_FITS = 6  # models fitted at the same time
-GROWN_ROWS = 50_000, 10_000_000  # training rows beyond the first, up to the second: a forest's trees are grown by ``forest``, in tasks that hold all rows
+GROWN_ROWS = 20_000, 10_000_000  # training rows beyond the first, up to the second: a forest's trees are grown by ``forest``, in tasks that hold all rows
 
 
 def _shuffled(df: DataFrame, key: str, target: str, seed: int) -> DataFrame:
